@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, sharding, token_counts
+from . import bpe_codec, sharding, simhash_dedup, substring_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,8 +33,18 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(bpe_codec.decode(bpe_codec.encode(_table(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = substring_dedup.without_repeats(_table(spark, sf_dir, "documents"), window=13)
+    return judged.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "repeats")
+
+
+def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = simhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), radius=3, shingle=3)
+    return grouped.select("doc_id", simhash_dedup.hexadecimal().alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_sharding, op5_token_counts, op6_bpe_codec)}
+    return {f.__name__: f for f in (op4_sharding, op5_token_counts, op6_bpe_codec, op9_substring_dedup, op10_simhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
