@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, sharding, simhash_dedup, substring_dedup, token_counts
+from . import bpe_codec, langid, merkle, sharding, simhash_dedup, substring_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, _ = sharding.assign(_table(spark, sf_dir, "documents"), 8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
@@ -33,6 +37,11 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(bpe_codec.decode(bpe_codec.encode(_table(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = merkle.with_next(_table(spark, sf_dir, "documents"))
+    return shown.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = substring_dedup.without_repeats(_table(spark, sf_dir, "documents"), window=13)
     return judged.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "repeats")
@@ -44,7 +53,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_sharding, op5_token_counts, op6_bpe_codec, op9_substring_dedup, op10_simhash_dedup)}
+    return {f.__name__: f for f in (op2_language_id, op4_sharding, op5_token_counts, op6_bpe_codec, op8_fingerprints, op9_substring_dedup, op10_simhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
