@@ -50,6 +50,38 @@ def _splitter(path: str, pattern: str):
     return kept_in_worker(("pre-tokens", path, pattern), make)
 
 
+def _pack(values) -> bytes:
+    """Whole numbers below 2**32, small: their bytes by significance, compressed."""
+    import numpy as np
+    import zstandard
+
+    return zstandard.compress(np.asarray(values, dtype="<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+
+
+def _unpack(raw: bytes):
+    import numpy as np
+    import zstandard
+
+    return np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+def _pack_texts(names: list[str]) -> tuple[bytes, bytes]:
+    """Strings as (their lengths in code points, their compressed concatenation)."""
+    import zstandard
+
+    return _pack([len(x) for x in names]), zstandard.compress("".join(names).encode(), 3)
+
+
+def _unpack_texts(lengths: bytes, joined: bytes) -> list[str]:
+    import zstandard
+
+    text, names, at = zstandard.decompress(joined).decode(), [], 0
+    for n in _unpack(lengths).tolist():
+        names.append(text[at : at + n])
+        at += n
+    return names
+
+
 def _blocks(path: str, pattern: str, special: tuple[str, ...], n_homes: int, block_chars: int):
     def run(batches: Iterator) -> Iterator:
         from collections import Counter
@@ -63,12 +95,6 @@ def _blocks(path: str, pattern: str, special: tuple[str, ...], n_homes: int, blo
         split = _splitter(path, pattern)
         cut_special = regex.compile("|".join(regex.escape(x) for x in sorted(special, key=len, reverse=True))).split if special else lambda t: [t]
         seq = TaskContext.get().partitionId() << 32
-        codec = pa.Codec("zstd", 3)
-
-        def pack(values, kind) -> bytes:
-            raw = np.asarray(values, dtype=kind).tobytes()
-            return len(raw).to_bytes(8, "little") + codec.compress(raw, asbytes=True)
-
         def flushed():
             nonlocal seq
             names = list(vocabulary)
@@ -76,17 +102,17 @@ def _blocks(path: str, pattern: str, special: tuple[str, ...], n_homes: int, blo
             by_home = [[] for _ in range(n_homes)]
             for x, h in zip(names, home.tolist()):
                 by_home[h].append(x)
-            rows = [(seq, h, None, None, None, None, None, None, None, pa.array(own, pa.string())) for h, own in enumerate(by_home) if own]
-            rows.append((seq, None, doc_ids, n_bytes, specials, pack(home, np.uint16), pack(sizes, np.uint32), pack(np.concatenate(ids) if ids else [], np.uint32), pack(np.concatenate(counts) if counts else [], np.uint32), None))
+            rows = [(seq, h, None, None, None, None, None, None, None, *_pack_texts(own)) for h, own in enumerate(by_home) if own]
+            rows.append((seq, None, doc_ids, n_bytes, specials, _pack(home), _pack(sizes), _pack(np.concatenate(steps)), _pack(np.concatenate(counts)), None, None))
             seq += 1
             cols = list(zip(*rows))
             return pa.RecordBatch.from_arrays([
                 pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
                 pa.array(cols[2], pa.list_(pa.int64())), pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.list_(pa.int64())),
-                *(pa.array(c, pa.binary()) for c in cols[5:9]), pa.array([None if c is None else c.to_pylist() for c in cols[9]], pa.list_(pa.string())),
-            ], ["block", "home", "doc_ids", "n_bytes", "specials", "homes", "sizes", "ids", "counts", "pre_tokens"])
+                *(pa.array(c, pa.binary()) for c in cols[5:]),
+            ], ["block", "home", "doc_ids", "n_bytes", "specials", "homes", "sizes", "steps", "counts", "lengths", "pre_tokens"])
 
-        vocabulary, doc_ids, n_bytes, specials, sizes, ids, counts, held = {}, [], [], [], [], [], [], 0
+        vocabulary, doc_ids, n_bytes, specials, sizes, steps, counts, held = {}, [], [], [], [], [], [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 text = text or ""
@@ -96,19 +122,20 @@ def _blocks(path: str, pattern: str, special: tuple[str, ...], n_homes: int, blo
                         frequency.update(split(part))
                 place = vocabulary.setdefault
                 own = np.fromiter((place(x, len(vocabulary)) for x in frequency), np.uint32, len(frequency))
+                order = np.argsort(own)  # a document's places in order, as steps from one to the next
                 doc_ids.append(doc_id), n_bytes.append(len(text.encode())), specials.append(len(segments) - 1), sizes.append(len(own))
-                ids.append(own), counts.append(np.fromiter(frequency.values(), np.uint32, len(own)))
+                steps.append(np.diff(own[order], prepend=np.uint32(0))), counts.append(np.fromiter(frequency.values(), np.uint32, len(own))[order])
                 held += len(text)
                 if held >= block_chars or len(doc_ids) >= 50_000:
                     yield flushed()
-                    vocabulary, doc_ids, n_bytes, specials, sizes, ids, counts, held = {}, [], [], [], [], [], [], 0
+                    vocabulary, doc_ids, n_bytes, specials, sizes, steps, counts, held = {}, [], [], [], [], [], [], 0
         if doc_ids:
             yield flushed()
 
     return run
 
 
-BLOCK = "block long, home int, doc_ids array<long>, n_bytes array<long>, specials array<long>, homes binary, sizes binary, ids binary, counts binary, pre_tokens array<string>"
+BLOCK = "block long, home int, doc_ids array<long>, n_bytes array<long>, specials array<long>, homes binary, sizes binary, steps binary, counts binary, lengths binary, pre_tokens binary"
 
 
 def _pieces(path: str):
@@ -121,8 +148,8 @@ def _pieces(path: str):
         tokenizer, known = _tokenizer(path), {}
         for batch in batches:
             out = []
-            for names in batch.column(2):
-                names = names.as_py()
+            for packed in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                names = _unpack_texts(*packed)
                 fresh = [x for x in names if x not in known]
                 known.update(zip(fresh, (len(e) for e in tokenizer.encode_batch_fast(fresh, add_special_tokens=False))))
                 out.append(np.fromiter((known[x] for x in names), np.uint32, len(names)).tobytes())
@@ -135,20 +162,17 @@ def _sums(batches: Iterator) -> Iterator:
     import numpy as np
     import pyarrow as pa
 
-    codec = pa.Codec("zstd", 3)
-
-    def unpack(raw: bytes, kind):
-        return np.frombuffer(codec.decompress(raw[8:], int.from_bytes(raw[:8], "little"), asbytes=True), dtype=kind)
-
     for batch in batches:
         for row in batch.to_pylist():
-            homes = unpack(row["homes"], np.uint16)
+            homes = _unpack(row["homes"])
             n_pieces = np.zeros(len(homes), np.int64)
             order = np.argsort(homes, kind="stable")
             n_pieces[order] = np.frombuffer(b"".join(x["n_pieces"] for x in sorted(row["pieces"] or [], key=lambda x: x["home"])), np.uint32)
-            sizes = unpack(row["sizes"], np.uint32).astype(np.int64)
-            total = np.concatenate([[0], np.cumsum(n_pieces[unpack(row["ids"], np.uint32)] * unpack(row["counts"], np.uint32))])
+            sizes = _unpack(row["sizes"]).astype(np.int64)
             ends = np.cumsum(sizes)
+            place = np.cumsum(_unpack(row["steps"]), dtype=np.int64)
+            before = np.concatenate([[0], place])[ends - sizes]  # each document's steps start from 0
+            total = np.concatenate([[0], np.cumsum(n_pieces[place - np.repeat(before, sizes)] * _unpack(row["counts"]))])
             n = total[ends] - total[ends - sizes] + np.array(row["specials"], np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(row["n_bytes"], pa.int64()), pa.array(n)], ["doc_id", "n_bytes", "n_tokens"])
 
@@ -165,8 +189,8 @@ def count_tokens(
     spark = docs.sparkSession
     n_homes = min(partitions(spark), 65_535)
     blocks = written(texts(docs, id_col, text_col).mapInArrow(_blocks(tokenizer_path, pattern, special, n_homes, block_chars), BLOCK), "token-blocks")
-    homes = blocks.where("home is not null").select("block", "home", "pre_tokens").repartition(n_homes, "home")
+    homes = blocks.where("home is not null").select("block", "home", "lengths", "pre_tokens").repartition(n_homes, "home")
     pieces = homes.mapInArrow(_pieces(tokenizer_path), "block long, home int, n_pieces binary")
     by_block = pieces.groupBy("block").agg(F.collect_list(F.struct("home", "n_pieces")).alias("pieces"))
-    own = blocks.where("home is null").drop("home", "pre_tokens")
+    own = blocks.where("home is null").drop("home", "lengths", "pre_tokens")
     return own.join(by_block, "block", "left").mapInArrow(_sums, "doc_id long, n_bytes long, n_tokens long")
