@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, langid, merkle, sharding, simhash_dedup, substring_dedup, token_counts
+from . import bpe_codec, decontam, langid, merkle, sharding, simhash_dedup, substring_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), threshold=0.8, radius=12)
+    return held.select("doc_id", "item_id", F.round("similarity", 9).alias("similarity"), "first_word", "n_words")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, _ = sharding.assign(_table(spark, sf_dir, "documents"), 8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
@@ -53,8 +58,8 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op4_sharding, op5_token_counts, op6_bpe_codec, op8_fingerprints, op9_substring_dedup, op10_simhash_dedup)}
+    return {f.__name__: f for f in (op2_language_id, op3_decontamination, op4_sharding, op5_token_counts, op6_bpe_codec, op8_fingerprints, op9_substring_dedup, op10_simhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_decontamination": decontam.ORACLE_SQL}
