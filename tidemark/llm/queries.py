@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontam, langid, merkle, sharding, simhash_dedup, substring_dedup, token_counts
+from . import bpe_codec, decontam, langid, merkle, pii, sharding, simhash_dedup, substring_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,12 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(bpe_codec.decode(bpe_codec.encode(_table(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = (pii.counts("_base", kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone"))
+    return found.select("doc_id", *counts, F.sha2(pii.shown("_base"), 256).alias("base_sha256"), pii.shown("_spans").alias("spans"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = merkle.with_next(_table(spark, sf_dir, "documents"))
     return shown.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
@@ -58,7 +64,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op3_decontamination, op4_sharding, op5_token_counts, op6_bpe_codec, op8_fingerprints, op9_substring_dedup, op10_simhash_dedup)}
+    return {f.__name__: f for f in (op2_language_id, op3_decontamination, op4_sharding, op5_token_counts, op6_bpe_codec, op7_pii, op8_fingerprints, op9_substring_dedup, op10_simhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
