@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontam, langid, merkle, pii, sharding, simhash_dedup, substring_dedup, token_counts
+from . import bpe_codec, chat, decontam, langid, merkle, pii, sharding, simhash_dedup, substring_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.format_chats(_table(spark, sf_dir, "conversations"))
+    return turns.select(F.col("id").alias("conv_id"), "part", "turn", "role", "continued", "rendered")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
@@ -64,7 +69,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op3_decontamination, op4_sharding, op5_token_counts, op6_bpe_codec, op7_pii, op8_fingerprints, op9_substring_dedup, op10_simhash_dedup)}
+    return {f.__name__: f for f in (op1_chat_format, op2_language_id, op3_decontamination, op4_sharding, op5_token_counts, op6_bpe_codec, op7_pii, op8_fingerprints, op9_substring_dedup, op10_simhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
