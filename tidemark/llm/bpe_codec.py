@@ -70,11 +70,12 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "
     return taken.mapInArrow(run, "doc_id long, ids array<int>, bytes binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """The token count and the SHA-256 of the ids and of the bytes that decode() returned."""
+def digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """The token count and the SHA-256 of the ids and of the bytes that decode() returned, and columns named."""
     return decoded.select(
         "doc_id",
         F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.coalesce("ids", F.array().cast("array<int>")).cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
+        *more,
     )

@@ -21,8 +21,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import ArrowUDFType
 
-from .common import kept_in_worker, named, texts
+from .common import named, texts
 
 UNKNOWN = "und"
 GRAMS = (1, 2, 3, 4)
@@ -154,11 +155,25 @@ def training_rows(docs: DataFrame, usable: Column, *, max_train: int = 2000, max
     return rows
 
 
-def predict(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text", batch_rows: int = 256) -> DataFrame:
-    """(doc_id, lang_pred, score) of every whole text."""
-    own = texts(docs, id_col, text_col)
+def _predicted(m: Model, own: list[str | None], p) -> tuple[list[str], object]:
+    """Language and score of some texts; p: an array of presence to use, a row for each text at least."""
+    import numpy as np
+
+    p[: len(own)] = 0
+    known = np.array([t is not None and any(map(str.isalpha, t)) for t in own], dtype=bool)
+    for row, text, k in zip(p, own, known):
+        if k:
+            presence(text, m.grams, m.table, row)
+    f = kernel(p[: len(own)], m.landmarks) @ m.weights
+    best = f.argmax(axis=1)
+    score = np.where(known, np.clip(f[np.arange(len(own)), best], 0, 1), 0).astype(np.float64)
+    return [m.langs[b] if k else UNKNOWN for b, k in zip(best, known)], score
+
+
+def predict(docs: DataFrame, model: Model | None, *, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score", batch_rows: int = 256) -> DataFrame:
+    """docs with the language and score of every whole text as two more columns."""
     if model is None:
-        return own.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.withColumns({lang_out: F.lit(UNKNOWN), score_out: F.lit(0.0)})
     sent = docs.sparkSession.sparkContext.broadcast(model)  # its size is bounded by the model's parameters
 
     def run(batches: Iterator) -> Iterator:
@@ -168,20 +183,16 @@ def predict(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", tex
         m = sent.value
         p = np.zeros((batch_rows, len(m.grams)), np.float32)
         for batch in batches:
-            for start in range(0, batch.num_rows, batch_rows):
-                part = batch.slice(start, batch_rows)
-                own = part.column(1).to_pylist()
-                p[:] = 0
-                known = np.array([t is not None and any(map(str.isalpha, t)) for t in own])
-                for row, text, k in zip(p, own, known):
-                    if k:
-                        presence(text, m.grams, m.table, row)
-                f = kernel(p[: len(own)], m.landmarks) @ m.weights
-                best = f.argmax(axis=1)
-                score = np.where(known, np.clip(f[np.arange(len(own)), best], 0, 1), 0).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([m.langs[b] if k else UNKNOWN for b, k in zip(best, known)]), pa.array(score)], ["doc_id", "lang_pred", "score"])
-
-    return own.mapInArrow(run, "doc_id long, lang_pred string, score double")
+            langs, scores = [], []
+            for start in range(0, len(batch), batch_rows):
+                own, score = _predicted(m, batch.slice(start, batch_rows).to_pylist(), p)
+                langs += own
+                scores.append(score)
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())], ["lang", "score"])
+
+    own = F.arrow_udf(run, "lang string, score double", ArrowUDFType.SCALAR_ITER)
+    scored = docs.withColumn("_tidemark_lang", own(named(text_col).cast("string")))
+    return scored.withColumns({lang_out: F.col("_tidemark_lang.lang"), score_out: F.col("_tidemark_lang.score")}).drop("_tidemark_lang")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -192,5 +203,15 @@ def held_out(doc_id: Column) -> Column:
 def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_train: int = 2000) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): fitted on rows that aren't held out, applied to all."""
     rows = training_rows(docs, ~held_out(named(id_col).cast("long")), max_train=max_train, id_col=id_col, text_col=text_col, lang_col=lang_col)
-    scored = predict(docs, fit(rows) if rows else None, id_col=id_col, text_col=text_col)
+    scored = predict(texts(docs, id_col, text_col), fit(rows) if rows else None)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def with_known_language(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_train: int = 2000) -> DataFrame:
+    """docs without those whose language can't be told; a missing label becomes the predicted one."""
+    rows = training_rows(docs, ~held_out(named(id_col).cast("long")), max_train=max_train, id_col=id_col, text_col=text_col, lang_col=lang_col)
+    if not rows:  # nothing to learn from: only texts without a letter are known to have no language
+        return docs.where(F.coalesce(F.rlike(named(text_col), F.lit(r"\p{L}")), F.lit(False)))
+    names = docs.columns
+    scored = predict(docs, fit(rows), text_col=text_col, lang_out="_tidemark_pred", score_out="_tidemark_score").where(F.col("_tidemark_pred") != UNKNOWN)
+    return scored.select(*(F.coalesce(named(c), F.col("_tidemark_pred")).alias(c) if c == lang_col else named(c) for c in names))
