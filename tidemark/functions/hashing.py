@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +29,6 @@ def column(name: str) -> Column:
 
 def nfc(value: Column) -> Column:
     """Unicode normal form C. Strings of characters below U+0300 are in it and aren't sent to Python."""
-    import pandas as pd
-
     @F.pandas_udf(T.StringType())
     def normal(s: pd.Series) -> pd.Series:
         import unicodedata
@@ -90,8 +89,6 @@ def add_row_hash(df: DataFrame, columns: Sequence[str] | None = None, *, empty_i
 
 def add_row_hash_in_python(df: DataFrame, columns: Sequence[str] | None = None, *, empty_is_null: bool = False, normalize: bool = True, name: str = HASH) -> DataFrame:
     """The same hash with hashlib in Arrow batches: an independent check of add_row_hash, and slower."""
-    import pandas as pd
-
     kinds = {f.name: f.dataType for f in df.schema.fields}
     used = hash_columns(df, columns)
     strings = {c: normal_string(column(c), empty_is_null=empty_is_null, normalize=normalize) for c in used if isinstance(kinds[c], T.StringType)}
