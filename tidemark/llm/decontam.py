@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_GAP, named, partitions
+from .common import WORD_GAP, cut, named, partitions
 
 SHINGLE = 5
 SPACES = " \t\n\x0b\x0c\r"
@@ -53,19 +53,22 @@ def simhash(own: str) -> Column:
 
     Two bits are counted at a time, in the halves of a long: bit b in the low half, bit b + 32 in the high one.
     """
-    hashes, half = _word_hashes(own), F.lit(0x0000000100000001)
+    hashes, half, zero = _word_hashes(own), F.lit(0x0000000100000001), F.lit(0).cast("long")
 
-    def counted(b: int) -> Column:
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: acc + F.shiftrightunsigned(h, b).bitwiseAND(half))
+    def shifted(direction: str, value: Column, by: Column) -> Column:
+        return F.call_function(direction, value, by)
 
-    bits = F.lit(0).cast("long")
-    for b in range(32):
-        s = counted(b)
-        for high in (0, 32):
-            count = F.shiftrightunsigned(s, high).bitwiseAND(F.lit(0xFFFFFFFF)) if high == 0 else F.shiftrightunsigned(s, 32)
-            place = 1 << (b + high)
-            bits = bits.bitwiseOR(F.when(2 * count > F.size(own), F.lit(place - (1 << 64) if place >> 63 else place)).otherwise(F.lit(0).cast("long")))
-    return bits
+    def counted(b: Column) -> Column:
+        return F.aggregate(hashes, zero, lambda acc, h: acc + shifted("shiftrightunsigned", h, b).bitwiseAND(half))
+
+    def placed(count: Column, b: Column) -> Column:
+        low, high = count.bitwiseAND(F.lit(0xFFFFFFFF)), shifted("shiftrightunsigned", count, F.lit(32))
+        one = F.lit(1).cast("long")
+        first = F.when(2 * low > F.size(own), shifted("shiftleft", one, b)).otherwise(zero)
+        return first.bitwiseOR(F.when(2 * high > F.size(own), shifted("shiftleft", one, b + 32)).otherwise(zero))
+
+    bits = F.transform(F.transform(F.sequence(F.lit(0), F.lit(31)), counted), placed)
+    return F.aggregate(bits, zero, lambda acc, x: acc.bitwiseOR(x))
 
 
 def _block_values(fp: Column, radius: int) -> list[Column]:
@@ -93,7 +96,8 @@ def contaminated(
     """
     items = benchmark.select(named(item_col).alias("item_id"), words(named(item_text_col)).alias("item_words")).where((F.size("item_words") > 0) & F.col("item_id").isNotNull())
     items = items.withColumn("size", F.size("item_words")).withColumn("k", F.least("size", F.lit(SHINGLE)))
-    own = docs.select(named(id_col).cast("long").alias("doc_id"), words(named(text_col)).alias("words")).where(F.col("doc_id").isNotNull() & (F.size("words") > 0))
+    texts = docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
+    own = texts.select("doc_id", words(F.col("text")).alias("words")).where(F.size("words") > 0)
 
     hashed = items.select("size", "k", _word_hashes("item_words").alias("hashes"))
     per_size = items.groupBy("k").agg(F.sum(F.col("size") - F.col("k") + 1).alias("n"), F.count(F.lit(1)).alias("items")).collect()  # five rows at most
@@ -112,7 +116,8 @@ def contaminated(
         return docs.sparkSession.createDataFrame([], schema)
 
     windows = aligned.distinct().groupBy("doc_id").agg(F.collect_list("window").alias("windows"))
-    held = own.join(windows, "doc_id").select("doc_id", "words", F.explode("windows").alias("w"))
+    # texts are shuffled as they are: an array of their words takes several times the room
+    held = texts.join(windows, "doc_id").select("doc_id", words(F.col("text")).alias("words"), F.explode("windows").alias("w"))
     held = held.select("doc_id", F.col("w.first").alias("first"), F.col("w.size").alias("size"), F.slice("words", F.col("w.first") + 1, F.col("w.size")).alias("window")).distinct()
     probed = held.repartition(partitions(docs.sparkSession), "doc_id", "first", "size").withColumn("fp", simhash("window"))
 
@@ -126,7 +131,8 @@ def contaminated(
     earlier = F.lit(False)
     for i, (a, b) in enumerate(zip(_block_values(F.col("fp"), radius), _block_values(F.col("item_fp"), radius))):
         earlier = earlier | ((F.lit(i) < own_no) & (a == b))
-    pairs = near.where(~earlier).select("doc_id", "item_id", "first", "size", "k", "window", "item_words")
+    # used three times below, and small: only what is within the radius of an item
+    pairs = cut(near.where(~earlier).select("doc_id", "item_id", "first", "size", "window", "item_words"))
 
     same = pairs.where(F.col("window") == F.col("item_words")).select("doc_id", "item_id", F.lit(1.0).alias("similarity"), F.col("first").alias("first_word"), F.size("window").alias("n_words"))
     other = pairs.where(F.col("window") != F.col("item_words"))
