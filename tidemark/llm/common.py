@@ -68,6 +68,37 @@ def kept_in_worker(key, make: Callable):
     return held[key]
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
+    """df.mapInArrow(run, schema); when a task ends, its worker gives back the memory that it no longer uses.
+
+    Workers are kept for later tasks, and an idle one would otherwise hold what its largest batch took.
+    """
+    name = run.__name__
+
+    def released(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    released.__name__ = name
+    return df.mapInArrow(released, schema)
+
+
+def give_back() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not this C library
+
+
 def safe_parts(text: str, size: int = 1 << 16) -> Iterator[str]:
     """Cuts a long text where every match of a byte-level BPE split pattern surely ends.
 
