@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept_in_worker, safe_parts, texts
+from .common import kept_in_worker, map_batches, safe_parts, texts
 
 
 def encoding(ranks_path: str, pattern: str):
@@ -33,26 +33,34 @@ def encoding(ranks_path: str, pattern: str):
     return kept_in_worker(("tiktoken", ranks_path, pattern), load)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>): the token ids of every whole text."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """(doc_id, ids array<int>): the token ids of every whole text; decoded: also bytes binary, what they decode to.
+
+    A round trip in one pass needs one worker process per task, and ids cross to it once.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         enc = encoding(ranks_path, pattern)
-        for batch in batches:
-            parts, offsets = [], np.zeros(batch.num_rows + 1, dtype=np.int32)
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                n = 0
-                for part in safe_parts(text or ""):
-                    parts.append(enc.encode_to_numpy(part, disallowed_special=()))
-                    n += len(parts[-1])
-                offsets[i + 1] = offsets[i] + n
-            values = np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["doc_id", "ids"])
-
-    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
+        for whole in batches:
+            for start in range(0, whole.num_rows, 512):
+                batch = whole.slice(start, 512)
+                parts, back, offsets = [], [], np.zeros(batch.num_rows + 1, dtype=np.int32)
+                for i, text in enumerate(batch.column(1).to_pylist()):
+                    own = [enc.encode_to_numpy(part, disallowed_special=()) for part in safe_parts(text or "")]
+                    offsets[i + 1] = offsets[i] + sum(map(len, own))
+                    parts += own
+                    if decoded:
+                        back.append(b"".join(enc.decode_bytes(x.tolist()) for x in own))
+                values = np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, np.int32)
+                columns = {"doc_id": batch.column(0), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))}
+                if decoded:
+                    columns["bytes"] = pa.array(back, pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return map_batches(texts(docs, id_col, text_col), run, "doc_id long, ids array<int>" + ", bytes binary" * decoded)
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -67,7 +75,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["doc_id", "ids", "bytes"])
 
     taken = encoded.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{ids_col}`").cast("array<int>").alias("ids"))
-    return taken.mapInArrow(run, "doc_id long, ids array<int>, bytes binary")
+    return map_batches(taken, run, "doc_id long, ids array<int>, bytes binary")
 
 
 def digests(decoded: DataFrame, *more: str) -> DataFrame:

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import named, written
+from .common import map_batches, named, written
 
 ROLES = ("system", "user", "assistant")
 N_STATES = 2 * len(ROLES)  # 2 * role: first line of a turn; 2 * role + 1: a further line
@@ -133,7 +133,7 @@ def fit(labelled: DataFrame):
 
     sizes = [N_STATES, N_STATES * N_STATES, *(N_STATES * n for n in SIZES)]
     counts = np.zeros(sum(sizes))
-    for r in labelled.select("part", "text", "labels").mapInArrow(_sums, "cell int, count double").groupBy("cell").agg(F.sum("count").alias("n")).collect():
+    for r in map_batches(labelled.select("part", "text", "labels"), _sums, "cell int, count double").groupBy("cell").agg(F.sum("count").alias("n")).collect():
         counts[r["cell"]] = r["n"]
     start, move, *seen = np.split(counts, np.cumsum(sizes)[:-1])
     log = lambda a, by: np.log((a + by) / (a + by).sum(axis=-1, keepdims=True))
@@ -236,9 +236,9 @@ def parse(parts: DataFrame, model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.float64()))], ["id", "part", "from_start"])
 
     cols = long.select("id", "part", "first", "text")
-    scores = cols.where("part > first").mapInArrow(chained, "id long, part long, scores array<double>").withColumn("from_start", F.lit(None).cast("array<double>"))
-    scores = scores.unionByName(cols.where("part = first").mapInArrow(started, "id long, part long, from_start array<double>").withColumn("scores", F.lit(None).cast("array<double>")))
-    ends = scores.groupBy("id").agg(F.collect_list(F.struct("part", "scores", "from_start")).alias("own")).mapInArrow(resolved, "id long, part long, before int, at_end int")
+    scores = map_batches(cols.where("part > first"), chained, "id long, part long, scores array<double>").withColumn("from_start", F.lit(None).cast("array<double>"))
+    scores = scores.unionByName(map_batches(cols.where("part = first"), started, "id long, part long, from_start array<double>").withColumn("scores", F.lit(None).cast("array<double>")))
+    ends = map_batches(scores.groupBy("id").agg(F.collect_list(F.struct("part", "scores", "from_start")).alias("own")), resolved, "id long, part long, before int, at_end int")
 
     def decoded(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -263,7 +263,7 @@ def parse(parts: DataFrame, model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 6, kinds)], ["id", "part", "turn", "role", "content", "continued"])
 
     ready = joined.join(ends, ["id", "part"], "left").select("id", "part", "first", "text", "before", "at_end")
-    return ready.mapInArrow(decoded, "id long, part long, turn int, role string, content string, continued boolean")
+    return map_batches(ready, decoded, "id long, part long, turn int, role string, content string, continued boolean")
 
 
 def rendered(role: str | Column, content: str | Column) -> Column:

@@ -97,7 +97,7 @@ def contaminated(
     items = benchmark.select(named(item_col).alias("item_id"), words(named(item_text_col)).alias("item_words")).where((F.size("item_words") > 0) & F.col("item_id").isNotNull())
     items = items.withColumn("size", F.size("item_words")).withColumn("k", F.least("size", F.lit(SHINGLE)))
     texts = docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
-    own = texts.select("doc_id", words(F.col("text")).alias("words")).where(F.size("words") > 0)
+    own = texts.select("doc_id", words(F.col("text")).alias("words"))
 
     hashed = items.select("size", "k", _word_hashes("item_words").alias("hashes"))
     per_size = items.groupBy("k").agg(F.sum(F.col("size") - F.col("k") + 1).alias("n"), F.count(F.lit(1)).alias("items")).collect()  # five rows at most
@@ -105,8 +105,6 @@ def contaminated(
     for r in per_size:
         targets = _shingle_rows(hashed.where(F.col("k") == r["k"]), ["size"], "hashes", r["k"]).select("size", F.col("pos").alias("item_pos"), "shingle").distinct()
         found = _shingle_rows(own.select("doc_id", F.size("words").alias("n"), _word_hashes("words").alias("hashes")), ["doc_id", "n"], "hashes", r["k"])
-        if r["k"] == SHINGLE:  # a document of fewer words is one shingle, too, but no item of this size has one as short
-            found = found.where(F.col("n") >= SHINGLE)
         hit = found.join(_bounded(targets, r["n"], broadcast_rows), "shingle")
         first = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("item_pos"), F.col("n") - F.col("size")))
         hit = hit.select("doc_id", F.struct(first.alias("first"), F.col("size")).alias("window"))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import ArrowUDFType
 
-from .common import named, texts
+from .common import give_back, named, texts
 
 UNKNOWN = "und"
 GRAMS = (1, 2, 3, 4)
@@ -129,13 +129,13 @@ def fit(rows: list[tuple[str, str]], *, max_grams: int = 16_000, n_landmarks: in
     return Model(langs, grams, table, landmarks.astype(np.float32), (to_features @ beta).astype(np.float32))
 
 
-def training_rows(docs: DataFrame, usable: Column, *, max_train: int = 2000, max_langs: int = 200, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
+def training_rows(docs: DataFrame, usable: Column, *, max_train: int = 2000, max_langs: int = 200, max_chars: int = 20_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
     """(text, lang) of `max_train` usable labelled rows at most, as evenly over the languages as they go.
 
     The frequent languages are thinned by a hash of the id before any row is gathered. Texts go to the driver, so
-    each of them is cut at 20,000 characters; only training reads them.
+    only rows of at most `max_chars` characters are sampled; they are learned from whole.
     """
-    own = docs.where(usable & named(lang_col).isNotNull() & named(text_col).isNotNull() & named(id_col).isNotNull())
+    own = docs.where(usable & named(lang_col).isNotNull() & (F.char_length(named(text_col)) <= max_chars) & named(id_col).isNotNull())
     own = own.select(named(id_col).cast("long").alias("doc_id"), named(text_col).cast("string").alias("text"), named(lang_col).cast("string").alias("lang"))
     counts = own.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
     if not counts:
@@ -146,7 +146,7 @@ def training_rows(docs: DataFrame, usable: Column, *, max_train: int = 2000, max
     some = thinned[0]
     for more in thinned[1:]:
         some = some | more
-    taken = own.where(some).select("lang", F.substring("text", 1, 20_000).alias("text"), place.alias("place"), "doc_id").orderBy("place", "doc_id").limit(2 * max_train + 20 * len(counts)).collect()
+    taken = own.where(some).select("lang", "text", place.alias("place"), "doc_id").orderBy("place", "doc_id").limit(2 * max_train + 20 * len(counts)).collect()
     rows, held = [], dict.fromkeys((r["lang"] for r in counts), 0)
     for r in taken:
         if held[r["lang"]] < share:
@@ -182,15 +182,20 @@ def predict(docs: DataFrame, model: Model | None, *, text_col: str = "text", lan
 
         m = sent.value
         p = np.zeros((batch_rows, len(m.grams)), np.float32)
-        for batch in batches:
-            langs, scores = [], []
-            for start in range(0, len(batch), batch_rows):
-                own, score = _predicted(m, batch.slice(start, batch_rows).to_pylist(), p)
-                langs += own
-                scores.append(score)
-            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())], ["lang", "score"])
-
-    own = F.arrow_udf(run, "lang string, score double", ArrowUDFType.SCALAR_ITER)
+        try:
+            for batch in batches:
+                langs, scores = [], []
+                for start in range(0, len(batch), batch_rows):
+                    own, score = _predicted(m, batch.slice(start, batch_rows).to_pylist(), p)
+                    langs += own
+                    scores.append(score)
+                yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())], ["lang", "score"])
+        finally:
+            del p
+            give_back()
+
+    # not to be taken apart: a filter on the result would make the scores twice
+    own = F.arrow_udf(run, "lang string, score double", ArrowUDFType.SCALAR_ITER).asNondeterministic()
     scored = docs.withColumn("_tidemark_lang", own(named(text_col).cast("string")))
     return scored.withColumns({lang_out: F.col("_tidemark_lang.lang"), score_out: F.col("_tidemark_lang.score")}).drop("_tidemark_lang")
 

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, texts
+from .common import map_batches, partitions, texts
 
 SECTION = 16
 
@@ -169,6 +169,6 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     first = own.where("doc_id is null") if n_rows > n_ids else own.where(F.col("doc_id") == least)
     first = first.groupBy().agg(F.min(F.struct(F.coalesce("text", F.lit("")).alias("text"), "doc_id")).alias("first")).where("first is not null")
     wrap = first.select(F.lit(len(cuts)).alias("range"), F.lit(True).alias("ahead"), F.col("first.doc_id").alias("doc_id"), F.col("first.text").alias("text"))
-    dealt = own.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_dealt(cuts), "range int, ahead boolean, doc_id long, text string").unionByName(wrap)
+    dealt = map_batches(own.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), _dealt(cuts), "range int, ahead boolean, doc_id long, text string").unionByName(wrap)
     ordered = dealt.repartition(partitions(docs.sparkSession), "range").sortWithinPartitions("range", "ahead", F.col("doc_id").asc_nulls_first(), "text")
-    return ordered.mapInArrow(_fingerprinted, "doc_id long, text string, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return map_batches(ordered, _fingerprinted, "doc_id long, text string, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

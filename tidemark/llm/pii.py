@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import named
+from .common import named, texts
 
 #: The kinds in the order in which they are listed, base kinds first.
 KINDS = ("email", "ip", "card", "phone", "ssn", "iban")
@@ -300,12 +300,16 @@ def _spans(found: Column, kind: str) -> Column:
 
 
 def find(docs: DataFrame, model: Boosted | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with `_base` and `_spans`: arrays of (start, kind, end), by start, then kind. kind: a place in KINDS."""
+    """(doc_id, text, _base, _spans): arrays of (start, kind, end), by start, then kind. kind: a place in KINDS."""
+    return _with_spans(texts(docs, id_col, text_col), model, "text", "_base", "_spans")
+
+
+def _with_spans(docs: DataFrame, model: Boosted | None, text_col: str, base_out: str, spans_out: str) -> DataFrame:
     model = model or fit()
     text = F.coalesce(named(text_col).cast("string"), F.lit(""))
     base = {kind: _spans(found, kind) for kind, found in base_spans(text).items()}
     base_col = F.array_sort(F.concat(*base.values()))
-    with_base = docs.withColumn("_base", base_col)
+    with_base = docs.withColumn(base_out, base_col)
 
     proposals = []
     has_digits = F.rlike(text, F.lit("[0-9]{2}"))
@@ -322,9 +326,11 @@ def find(docs: DataFrame, model: Boosted | None = None, *, id_col: str = "doc_id
         one = F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))
         return F.when(free(acc, x), F.array_append(acc, one)).otherwise(acc)
 
-    apart = F.filter("_proposed", lambda x: free(F.col("_base"), x))
+    own = F.col(base_out)
+    apart = F.filter("_tidemark_proposed", lambda x: free(own, x))
     added = F.aggregate(apart, F.array().cast(SPAN), add)
-    return with_base.withColumn("_proposed", proposed).withColumn("_spans", F.when(F.size("_proposed") > 0, F.array_sort(F.concat(F.col("_base"), added))).otherwise(F.col("_base"))).drop("_proposed")
+    every = F.when(F.size("_tidemark_proposed") > 0, F.array_sort(F.concat(own, added))).otherwise(own)
+    return with_base.withColumn("_tidemark_proposed", proposed).withColumn(spans_out, every).drop("_tidemark_proposed")
 
 
 def _selected(found: Column, model: Boosted, g: int, kind: str) -> Column:
@@ -347,13 +353,13 @@ def counts(spans: str, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
 
 
-def redacted(docs: DataFrame, model: Boosted | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def redacted(docs: DataFrame, model: Boosted | None = None, *, text_col: str = "text") -> DataFrame:
     """docs with each span of the text replaced by its kind in brackets; spans that overlap are replaced as one.
 
     A null text stays null; other columns stay.
     """
     names = docs.columns
-    found = find(docs, model, id_col=id_col, text_col=text_col).drop("_base")
+    found = _with_spans(docs, model, text_col, "_tidemark_base", "_tidemark_spans")
     text = named(text_col)
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
@@ -366,5 +372,5 @@ def redacted(docs: DataFrame, model: Boosted | None = None, *, id_col: str = "do
     def join(acc: Column) -> Column:
         return F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.char_length(text)))
 
-    new = F.when(F.size("_spans") > 0, F.aggregate("_spans", zero, step, join)).otherwise(text)
+    new = F.when(F.size("_tidemark_spans") > 0, F.aggregate("_tidemark_spans", zero, step, join)).otherwise(text)
     return found.select(*(new.alias(c) if c == text_col else named(c) for c in names))

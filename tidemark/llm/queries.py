@@ -44,11 +44,11 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    return bpe_codec.digests(bpe_codec.decode(bpe_codec.encode(_table(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern))
+    return bpe_codec.digests(bpe_codec.encode(_table(spark, sf_dir, "documents"), ranks, pattern, decoded=True))
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = pii.find(_table(spark, sf_dir, "documents"))
     counts = (pii.counts("_base", kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone"))
     return found.select("doc_id", *counts, F.sha2(pii.shown("_base"), 256).alias("base_sha256"), pii.shown("_spans").alias("spans"))
 

@@ -29,7 +29,7 @@ from math import comb
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, partitions, texts, written
+from .common import cut, map_batches, partitions, texts, written
 
 BITS = 64
 
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, *, shingle: int = 3, seed: int = 42, id_col: s
             fp = np.array([majority((t or "").encode()) for t in batch.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
-    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    return map_batches(texts(docs, id_col, text_col), run, "doc_id long, fp long")
 
 
 @dataclass(frozen=True)
@@ -90,7 +90,7 @@ def bit_statistics(distinct: DataFrame):
             both, n = both + bits.T @ bits, n + len(fp)
         yield pa.RecordBatch.from_arrays([pa.array(range(4097), pa.int32()), pa.array([float(n), *both.ravel()])], ["cell", "count"])
 
-    rows = distinct.select("fp").mapInArrow(run, "cell int, count double").groupBy("cell").agg(F.sum("count").alias("count")).collect()
+    rows = map_batches(distinct.select("fp"), run, "cell int, count double").groupBy("cell").agg(F.sum("count").alias("count")).collect()
     cells = np.zeros(4097)
     for r in rows:
         cells[r["cell"]] = r["count"]
@@ -163,7 +163,7 @@ def probes(distinct: DataFrame, plan: Plan) -> DataFrame:
                         key ^= key >> np.uint64(29)
                         yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(fp), k > 0)), batch.column(0), batch.column(1)], ["bucket", "probe", "fp", "id"])
 
-    return distinct.select("fp", "id").mapInArrow(run, "bucket long, probe boolean, fp long, id long")
+    return map_batches(distinct.select("fp", "id"), run, "bucket long, probe boolean, fp long, id long")
 
 
 def _links(radius: int, chunk: int = 2_000_000):
@@ -235,7 +235,7 @@ def links(distinct: DataFrame, radius: int = 3, *, tile: int = 4096) -> DataFram
     others = F.transform(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1), lambda c: F.least(c, F.col("own")) * 1_000_000 + F.greatest(c, F.col("own")))
     tiled = split.select("bucket", F.explode(F.when(F.col("chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(others.cast("array<long>"))).alias("tile"), "probe", "fp", "id")
     dealt = tiled.repartition(partitions(distinct.sparkSession), "bucket", "tile").sortWithinPartitions("bucket", "tile", "probe")
-    return dealt.mapInArrow(_links(radius), "a long, b long").distinct()
+    return map_batches(dealt, _links(radius), "a long, b long").distinct()
 
 
 def components(edges: DataFrame, max_steps: int = 60) -> DataFrame:

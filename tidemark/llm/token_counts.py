@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept_in_worker, partitions, safe_parts, texts, written
+from .common import kept_in_worker, map_batches, partitions, safe_parts, texts, written
 
 
 def _tokenizer(path: str):
@@ -188,9 +188,9 @@ def count_tokens(
     """
     spark = docs.sparkSession
     n_homes = min(partitions(spark), 65_535)
-    blocks = written(texts(docs, id_col, text_col).mapInArrow(_blocks(tokenizer_path, pattern, special, n_homes, block_chars), BLOCK), "token-blocks")
+    blocks = written(map_batches(texts(docs, id_col, text_col), _blocks(tokenizer_path, pattern, special, n_homes, block_chars), BLOCK), "token-blocks")
     homes = blocks.where("home is not null").select("block", "home", "lengths", "pre_tokens").repartition(n_homes, "home")
-    pieces = homes.mapInArrow(_pieces(tokenizer_path), "block long, home int, n_pieces binary")
+    pieces = map_batches(homes, _pieces(tokenizer_path), "block long, home int, n_pieces binary")
     by_block = pieces.groupBy("block").agg(F.collect_list(F.struct("home", "n_pieces")).alias("pieces"))
     own = blocks.where("home is null").drop("home", "lengths", "pre_tokens")
-    return own.join(by_block, "block", "left").mapInArrow(_sums, "doc_id long, n_bytes long, n_tokens long")
+    return map_batches(own.join(by_block, "block", "left"), _sums, "doc_id long, n_bytes long, n_tokens long")
