@@ -38,8 +38,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    decoded = bpe_codec.decode(bpe_codec.encode(docs, ranks, pattern), ranks, pattern)
-    return bpe_codec.digests(decoded, "ids")
+    return bpe_codec.digests(bpe_codec.encode(docs, ranks, pattern, decoded=True), "ids")
 
 
 STAGES = [
