@@ -210,3 +210,66 @@ def test_pipeline_odd(spark, docs, sf):
         for name, stage in p.STAGES:
             own = p.written(stage(spark, own, sf), name)
             own.count()
+
+
+def jaccard_groups(rows, k=5):
+    sets = {}
+    for i, t in rows:
+        if i is not None:
+            w = (t or "").encode().lower().split()
+            sets[i] = {tuple(w[j : j + k]) for j in range(max(len(w) - k + 1, 1))} if w else set()
+    return brute.closed(sets, lambda a, b: sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) > 0)
+
+
+def test_near_copies_odd(spark, docs):
+    got = simhash_dedup.similar_groups(docs).collect()
+    of = jaccard_groups([(i, t) for i, t, _ in brute.TEXTS])
+    assert len(got) == len(brute.TEXTS)
+    for r in got:
+        assert r["component_id"] == (None if r["doc_id"] is None else of[r["doc_id"]])
+    kept = simhash_dedup.without_near_copies(docs)
+    assert kept.columns == docs.columns and kept.where("doc_id = 2").count() == 0 and kept.where("doc_id is null").count() == 2
+    assert simhash_dedup.similar_groups(brute.empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("tile", [5, 4096])
+def test_near_copies_of_edited_texts(spark, tile):
+    rng = random.Random(tile)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    rows = []
+    for _ in range(12):
+        base = [rng.choice(vocabulary) for _ in range(rng.randint(60, 300))]
+        for _ in range(rng.randint(1, 9)):
+            w = list(base)
+            for _ in range(rng.randint(0, max(1, len(w) // 60))):
+                w[rng.randrange(len(w))] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(w)))
+    expected = jaccard_groups(rows)
+    got = {r["doc_id"]: r["component_id"] for r in simhash_dedup.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), tile=tile).collect()}
+    assert sum(got[i] == expected[i] for i in got) >= 0.95 * len(got)
+    assert all(expected[i] == expected[got[i]] for i in got)  # nothing is joined that isn't linked
+
+
+def test_forest_is_least():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    n = 40
+    a, b = rng.integers(0, n, 300), rng.integers(0, n, 300)
+    keep = a != b
+    a, b, w = a[keep], b[keep], rng.integers(0, 9, 300)[keep]
+    chosen = simhash_dedup.forest(n, a, b, w)
+    parent = list(range(n))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    total = count = 0
+    for i in np.argsort(w, kind="stable"):
+        x, y = find(a[i]), find(b[i])
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            total, count = total + w[i], count + 1
+    assert len(chosen) == count and w[chosen].sum() == total

@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from .common import cut, map_batches, partitions, texts, written
 
 BITS = 64
+#: A row that is shuffled and sorted takes about as long as so many comparisons of two fingerprints.
+ROW_COST = 100.0
 
 
 def fingerprints(docs: DataFrame, *, shingle: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -97,11 +99,12 @@ def bit_statistics(distinct: DataFrame):
     return int(cells[0]), cells[1:].reshape(64, 64)
 
 
-def allocate(n: int, both, radius: int, max_variants: int = 600) -> Plan:
+def allocate(n: int, both, radius: int, max_variants: int = 600, rows_factor: float = 1, pairs_factor: float = 1) -> Plan:
     """Groups correlated bits and allocates thresholds by dynamic programming on estimated candidate counts.
 
     For each number of partitions: bits join the partition with which they correlate most. The pairs that agree
-    in all but t bits of a partition are estimated from the bits' frequencies. Cost: entries probed plus pairs.
+    in all but t bits of a partition are estimated from the bits' frequencies. Cost: rows probed, each as much as
+    ROW_COST pairs compared, plus pairs. The factors are for keys that also hold something else.
     """
     import numpy as np
 
@@ -128,7 +131,7 @@ def allocate(n: int, both, radius: int, max_variants: int = 600) -> Plan:
             within, row = np.cumsum(differ), {-1: 0.0}
             for t in range(radius + 1):
                 variants = sum(comb(len(part), k) for k in range(t + 1))
-                row[t] = n * variants * 4.0 + float(n) * n * within[min(t, len(part))] if variants <= max_variants else float("inf")
+                row[t] = n * variants * ROW_COST * rows_factor + float(n) * n * within[min(t, len(part))] * pairs_factor if variants <= max_variants else float("inf")
             cost.append(row)
         reach = {0: (0.0, ())}  # thresholds + 1 used so far -> cost, thresholds
         for row in cost:
@@ -225,15 +228,20 @@ def _links(radius: int, chunk: int = 2_000_000):
     return run
 
 
+def _tiled(rows: DataFrame, keep: list[str], tile: int) -> DataFrame:
+    """(bucket, tile, probe, *keep): buckets of more than `tile` rows as all pairs of chunks of that size."""
+    large = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > tile).select("bucket", F.ceil(F.col("n_rows") / tile).cast("int").alias("chunks"))
+    split = rows.join(large, "bucket", "left").withColumn("own", F.pmod(F.xxhash64("id"), F.coalesce("chunks", F.lit(1))).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1), lambda c: F.least(c, F.col("own")) * 1_000_000 + F.greatest(c, F.col("own")))
+    tiles = F.when(F.col("chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(others.cast("array<long>"))
+    return split.select("bucket", F.explode(tiles).alias("tile"), "probe", *keep)
+
+
 def links(distinct: DataFrame, radius: int = 3, *, tile: int = 4096) -> DataFrame:
     """(a, b): links between ids of distinct fingerprints whose closure is that of all pairs within the radius."""
     n, both = bit_statistics(distinct)
     rows = probes(distinct, allocate(n, both, radius))
-    size = F.count(F.lit(1))
-    large = rows.groupBy("bucket").agg(size.alias("n")).where(F.col("n") > tile).select("bucket", F.ceil(F.col("n") / tile).cast("int").alias("chunks"))
-    split = rows.join(large, "bucket", "left").withColumn("own", F.pmod(F.xxhash64("fp"), F.coalesce("chunks", F.lit(1))).cast("int"))
-    others = F.transform(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1), lambda c: F.least(c, F.col("own")) * 1_000_000 + F.greatest(c, F.col("own")))
-    tiled = split.select("bucket", F.explode(F.when(F.col("chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(others.cast("array<long>"))).alias("tile"), "probe", "fp", "id")
+    tiled = _tiled(rows, ["fp", "id"], tile)
     dealt = tiled.repartition(partitions(distinct.sparkSession), "bucket", "tile").sortWithinPartitions("bucket", "tile", "probe")
     return map_batches(dealt, _links(radius), "a long, b long").distinct()
 
@@ -289,3 +297,245 @@ def without_near_duplicates(docs: DataFrame, *, radius: int = 3, id_col: str = "
     grouped = near_duplicates(docs, radius=radius, id_col=id_col, text_col=text_col)
     gone = grouped.where("doc_id != component_id").select(F.col("doc_id").alias("_tidemark_gone")).distinct()
     return docs.join(gone, docs[id_col].cast("long") == gone["_tidemark_gone"], "left_anti")
+
+
+# Near copies by similarity: the same search over another fingerprint, then exact verification.
+
+SKETCH_BITS = 128
+EDGE = b".,;:!?\"'()[]"
+
+
+def sketches(docs: DataFrame, *, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fp, s1, s2, n) of each text, A-Z lower-cased.
+
+    fp: SimHash over its distinct words, edge punctuation off, which few edits move little. s1, s2: a 128-bit SimHash
+    over its n distinct shingles of `shingle` words (fewer words: one shingle), by which candidates are ranked.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import xxhash
+
+        def majority(h, bits: int):
+            if not len(h):
+                return np.zeros(bits // 64, np.uint64)
+            ones = np.zeros(bits, np.int64)
+            for at in range(0, len(h), 50_000):
+                ones += np.unpackbits(h[at : at + 50_000].view(np.uint8).reshape(-1, bits // 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+            return np.packbits(2 * ones > len(h), bitorder="little").view(np.uint64)
+
+        for batch in batches:
+            out = np.zeros((batch.num_rows, 3), np.uint64)
+            sizes = []
+            for row, text in zip(out, batch.column(1).to_pylist()):
+                words = (text or "").encode().lower().split()
+                parts = {b" ".join(words[i : i + shingle]) for i in range(max(len(words) - shingle + 1, 1))} if words else set()
+                bare = {w.strip(EDGE) or w for w in words}
+                row[0] = majority(np.fromiter((xxhash.xxh64_intdigest(w, 7) for w in bare), np.uint64, len(bare)), 64)[0]
+                row[1:] = majority(np.frombuffer(b"".join(xxhash.xxh3_128_digest(p) for p in parts), np.uint64).reshape(-1, 2), SKETCH_BITS)
+                sizes.append(len(parts))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(out[:, i]).view(np.int64)) for i in range(3)), pa.array(sizes, pa.int32())], ["doc_id", "fp", "s1", "s2", "n"])
+
+    return map_batches(texts(docs, id_col, text_col), run, "doc_id long, fp long, s1 long, s2 long, n int")
+
+
+def _classed_probes(entries: DataFrame, plan: Plan, similarity: float) -> DataFrame:
+    """(bucket, probe, fp, s1, s2, n, id): buckets are of a partition's value and a class of sizes.
+
+    Sets of a similarity have sizes within that ratio, hence in one class or two adjacent ones: an entry is in its own
+    class and probes that and the one below.
+    """
+    import math
+
+    step = math.log(1 / similarity) * (1 + 1e-9)
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            fp, n = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), batch.column(3).to_numpy(zero_copy_only=False)
+            size = np.floor(np.log(np.maximum(n, 1)) / step).astype(np.int64).astype(np.uint64)
+            for i, (part, t) in enumerate(zip(plan.parts, plan.thresholds)):
+                if t < 0:
+                    continue
+                mask = np.uint64(sum(1 << b for b in part))
+                for k in range(t + 1):
+                    for flips in combinations(part, k):
+                        value = (fp & mask) ^ np.uint64(sum(1 << b for b in flips))
+                        for below in (0, 1):
+                            key = (value + np.uint64(i + 1)) * np.uint64(0x9E3779B97F4A7C15)
+                            key = (key ^ (key >> np.uint64(29))) + (size - np.uint64(below)) * np.uint64(0xD1342543DE82EF95)
+                            key ^= key >> np.uint64(32)
+                            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(fp), k > 0 or below > 0)), *(batch.column(c) for c in range(5))], ["bucket", "probe", "fp", "s1", "s2", "n", "id"])
+
+    return map_batches(entries.select("fp", "s1", "s2", "n", "id"), run, "bucket long, probe boolean, fp long, s1 long, s2 long, n int, id long")
+
+
+def forest(n: int, a, b, weight):
+    """Indexes of a spanning forest of least weight of the edges (a, b) between n nodes; weights are small integers."""
+    import numpy as np
+
+    label, taken = np.arange(n), []
+    order = np.argsort(weight, kind="stable")
+    level = np.append(np.flatnonzero(np.append(True, np.diff(weight[order]) > 0)), len(order)) if len(order) else [0]
+    for x, y in zip(level, level[1:]):
+        left = order[x:y]
+        while True:
+            la, lb = label[a[left]], label[b[left]]
+            cross = la != lb
+            left, la, lb = left[cross], la[cross], lb[cross]
+            if not len(left):
+                break
+            high, first = np.unique(np.maximum(la, lb), return_index=True)  # one edge for each tree that joins a lower one
+            taken.append(left[first])
+            root = np.arange(n)
+            root[high] = np.minimum(la, lb)[first]
+            while (root != root[root]).any():
+                root = root[root]
+            label = root[label]
+    return np.concatenate(taken) if taken else np.zeros(0, np.int64)
+
+
+def _candidates(radius: int, similarity: float, forests: int, chunk: int = 2_000_000):
+    """From rows sorted by bucket and tile, entries before probes: the likeliest pairs that span each bucket's groups.
+
+    A spanning forest of least sketch distance connects what all pairs connect at every distance. Several disjoint
+    ones are reported, as the sketch only estimates: a pair that verification rejects has others beside it.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import math
+
+        import numpy as np
+        import pyarrow as pa
+
+        # equal-sized sets of this similarity differ in a share of bits that is the angle between them
+        share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+        far = SKETCH_BITS * share + 4 * math.sqrt(SKETCH_BITS * share * (1 - share))
+
+        def likely(bucket, tile, probe, fp, s1, s2, n, ids):
+            rows = len(bucket)
+            new = np.ones(rows, bool)
+            new[1:] = (bucket[1:] != bucket[:-1]) | (tile[1:] != tile[:-1])
+            first = np.flatnonzero(new)
+            end = np.repeat(np.append(first[1:], rows), np.diff(np.append(first, rows)))
+            own = np.flatnonzero(~probe & (end - np.arange(rows) > 1))
+            todo = end[own] - own - 1
+            upto, at, found = np.cumsum(todo), 0, []
+            while at < len(own):
+                done = upto[at - 1] if at else 0
+                stop = max(at + 1, int(np.searchsorted(upto, done + chunk, side="right")))
+                left = np.repeat(own[at:stop], todo[at:stop])
+                right = left + 1 + np.arange(len(left)) + done - np.repeat(upto[at:stop] - todo[at:stop], todo[at:stop])
+                near = np.bitwise_count(fp[left] ^ fp[right]) <= radius
+                left, right = left[near], right[near]
+                apart = np.bitwise_count(s1[left] ^ s1[right]).astype(np.int64) + np.bitwise_count(s2[left] ^ s2[right])
+                low, high = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
+                near = (apart <= far) & (low >= similarity * high) & (ids[left] != ids[right])
+                found.append((left[near], right[near], apart[near]))
+                at = stop
+            if not found:
+                return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            left, right, apart = (np.concatenate(x) for x in zip(*found))
+            unique, node = np.unique(ids, return_inverse=True)
+            a, b = node[left], node[right]
+            pair, index = np.unique(np.minimum(a, b) * len(unique) + np.maximum(a, b), return_index=True)
+            a, b, apart, out = a[index], b[index], apart[index], []
+            for _ in range(forests):
+                if not len(a):
+                    break
+                chosen = forest(len(unique), a, b, apart)
+                out.append((a[chosen], b[chosen]))
+                rest = np.ones(len(a), bool)
+                rest[chosen] = False
+                a, b, apart = a[rest], b[rest], apart[rest]
+            if not out:
+                return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            a, b = (np.concatenate(x) for x in zip(*out))
+            return np.minimum(unique[a], unique[b]), np.maximum(unique[a], unique[b])
+
+        held = None
+        for batch in batches:
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(8)]
+            cols[3:6] = [c.view(np.uint64) for c in cols[3:6]]
+            held = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
+            last = (held[0] == held[0][-1]) & (held[1] == held[1][-1])
+            whole = int(np.argmax(last))
+            if whole:
+                a, b = likely(*(x[:whole] for x in held))
+                held = [x[whole:] for x in held]
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        if held is not None and len(held[0]):
+            a, b = likely(*held)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _shingle_sets(shingle: int):
+    """(id, keys): the sorted 32-bit hashes of a text's distinct shingles."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import xxhash
+
+        for batch in batches:
+            out = []
+            for text in batch.column(1).to_pylist():
+                words = (text or "").encode().lower().split()
+                h = (xxhash.xxh32_intdigest(b" ".join(words[i : i + shingle])) for i in range(max(len(words) - shingle + 1, 1))) if words else ()
+                out.append(np.unique(np.fromiter(h, np.uint32)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "keys"])
+
+    return run
+
+
+def _verified(similarity: float):
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def similar_groups(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5, radius: int = 9, forests: int = 2, tile: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, component_id): groups of documents linked by a Jaccard similarity of `similarity` or more of their shingles.
+
+    Candidates are pairs of fingerprints over words within the radius, found as in links(); the likeliest are compared
+    exactly. A null doc_id has a null component; equal documents are one entry.
+    """
+    spark = docs.sparkSession
+    known = texts(docs, id_col, text_col)
+    own = written(sketches(known, shingle=shingle), "sketches")
+    key = ["fp", "s1", "s2", "n"]
+    entries = cut(own.where("doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("id")))
+    n, both = bit_statistics(entries)
+    rows = _classed_probes(entries, allocate(n, both, radius, rows_factor=2, pairs_factor=0.2), similarity)
+    tiled = _tiled(rows, ["fp", "s1", "s2", "n", "id"], tile)
+    dealt = tiled.repartition(partitions(spark), "bucket", "tile").sortWithinPartitions("bucket", "tile", "probe")
+    pairs = cut(map_batches(dealt, _candidates(radius, similarity, forests), "a long, b long").distinct())
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    held = known.join(ends, known["doc_id"] == ends["id"], "left_semi").dropDuplicates(["doc_id"])
+    sets = written(map_batches(held, _shingle_sets(shingle), "id long, keys binary"), "shingle-sets")
+    met = pairs.join(sets.select(F.col("id").alias("a"), F.col("keys").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("keys").alias("y")), "b").select("a", "b", "x", "y")
+    closed = components(map_batches(met, _verified(similarity), "a long, b long"))
+    named_entries = entries.join(closed, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
+    return own.join(named_entries, key, "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def without_near_copies(docs: DataFrame, *, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """docs with one document of each group, that of the smallest id; rows with a null id stay."""
+    grouped = similar_groups(docs, similarity=similarity, id_col=id_col, text_col=text_col, **options)
+    gone = grouped.where("doc_id != component_id").select(F.col("doc_id").alias("_tidemark_gone")).distinct()
+    return docs.join(gone, docs[id_col].cast("long") == gone["_tidemark_gone"], "left_anti")
