@@ -19,8 +19,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return simhash_dedup.without_near_duplicates(docs)
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    return simhash_dedup.without_near_copies(docs, similarity=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
