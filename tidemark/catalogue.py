@@ -141,7 +141,7 @@ def fix_dates(spark, d):
     return sanitize.fix_dates(_instants(spark, d).select("event_id", F.col("d").alias("UPDATE_DATE")))
 
 
-@query("SELECT 'clean' AS \"column\", 20 AS sampled, 20 AS parsed, true AS is_instant UNION ALL SELECT 'event_type', 20, 0, false")
+@query("SELECT 'clean' AS \"column\", CAST(20 AS BIGINT) AS sampled, CAST(20 AS BIGINT) AS parsed, true AS is_instant UNION ALL SELECT 'event_type', 20, 0, false")
 def sniff_instants(spark, d):
     return sanitize.sniff_instants(_instants(spark, d), ["clean", "event_type"])
 
@@ -688,7 +688,7 @@ def quarantine_rows(spark, d):
     return evolve.quarantine(bad, "customer", "src", "negative", 7, T1, order=["c_custkey"]).select("TableName", "SourceName", "RejectionReason", F.get_json_object("RecordData", "$.c_custkey").alias("k"), "BatchId")
 
 
-@query("SELECT a.n AS old_name, b.n AS new_name, levenshtein(lower(a.n), lower(b.n)) AS distance FROM (VALUES ('cust_name', 'string'), ('balance', 'double'), ('zip', 'int')) AS a(n, t) JOIN (VALUES ('cust_nme', 'string'), ('ballance', 'double'), ('zip_code', 'int'), ('zap', 'string')) AS b(n, t) ON a.t = b.t WHERE levenshtein(lower(a.n), lower(b.n)) <= 3")
+@query("SELECT a.n AS old_name, b.n AS new_name, CAST(levenshtein(lower(a.n), lower(b.n)) AS INTEGER) AS distance FROM (VALUES ('cust_name', 'string'), ('balance', 'double'), ('zip', 'int')) AS a(n, t) JOIN (VALUES ('cust_nme', 'string'), ('ballance', 'double'), ('zip_code', 'int'), ('zap', 'string')) AS b(n, t) ON a.t = b.t WHERE levenshtein(lower(a.n), lower(b.n)) <= 3")
 def rename_candidates(spark, d):
     rows = lambda *x: spark.createDataFrame(x, "column_name string, data_type string")
     return evolve.rename_candidates(rows(("cust_name", "string"), ("balance", "double"), ("zip", "int")), rows(("cust_nme", "string"), ("ballance", "double"), ("zip_code", "int"), ("zap", "string")))
@@ -779,7 +779,7 @@ def ops_update_ratio(spark, d):
     return ops.ratios(_events_log(spark, d), "CDC_PROMOTION", "update_ratio", "2024-01-20 00:00:00", 0.5)
 
 
-@query(f"WITH {_LOG} SELECT TableName, date_diff('day', CAST(max(CompletedAt) AS DATE), DATE '2024-03-15') AS age_days, CASE WHEN date_diff('day', CAST(max(CompletedAt) AS DATE), DATE '2024-03-15') <= 30 THEN 'fresh' WHEN date_diff('day', CAST(max(CompletedAt) AS DATE), DATE '2024-03-15') <= 90 THEN 'aging' ELSE 'stale' END AS bucket FROM ev GROUP BY 1")
+@query(f"WITH {_LOG} SELECT TableName, CAST(date_diff('day', CAST(max(CompletedAt) AS DATE), DATE '2024-03-15') AS INTEGER) AS age_days, CASE WHEN date_diff('day', CAST(max(CompletedAt) AS DATE), DATE '2024-03-15') <= 30 THEN 'fresh' WHEN date_diff('day', CAST(max(CompletedAt) AS DATE), DATE '2024-03-15') <= 90 THEN 'aging' ELSE 'stale' END AS bucket FROM ev GROUP BY 1")
 def ops_staleness(spark, d):
     last = _events_log(spark, d).groupBy("TableName").agg(F.max("CompletedAt").alias("at"))
     return ops.staleness(last, "at", "2024-03-15 00:00:00").drop("at")
