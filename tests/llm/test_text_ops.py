@@ -86,6 +86,14 @@ def test_slot_map_moves_little():
     assert abs(own - sum(sizes.values()) / 9) < 0.01 * sum(sizes.values()) / 9
 
 
+def test_slot_maps_are_kept(spark, docs, tmp_path):
+    _, plan = sharding.assign(docs, 4, store=str(tmp_path / "maps"))
+    assert sharding.SlotMap.load(spark, str(tmp_path / "maps")).shard_of == plan.shard_of
+    assert sharding.SlotMap.load(spark, str(tmp_path / "maps"), 1).shard_of == sharding.SlotMap.even(4).shard_of
+    _, later = sharding.assign(docs, 4, current=plan, store=str(tmp_path / "maps"))
+    assert later.version == 3 and later.moved == ()
+
+
 def test_sharding_near_equal(spark, sf):
     rows = sharding.assign(spark.read.parquet(f"{sf}/documents.parquet"), 8)[0].groupBy("shard").sum("size").collect()
     sizes = [r["sum(size)"] for r in rows]

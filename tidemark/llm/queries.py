@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe_codec, chat, decontam, langid, merkle, pii, sharding, simhash_dedup, substring_dedup, token_counts
+from .common import shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +31,8 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed, _ = sharding.assign(_table(spark, sf_dir, "documents"), 8)
+    store = f"{shared_folder(spark)}/slot-maps-{uuid.uuid4().hex}"
+    placed, _ = sharding.assign(_table(spark, sf_dir, "documents"), 8, store=store)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
 
 

@@ -99,7 +99,19 @@ class SlotMap:
 
     def table(self, spark) -> DataFrame:
         """(version, slot, shard): what is stored; a version is appended, never changed."""
-        return spark.range(len(self.shard_of)).select(F.lit(self.version).alias("version"), F.col("id").cast("int").alias("slot"), self.column(F.col("id")).alias("shard"))
+        return spark.range(0, len(self.shard_of), 1, 1).select(F.lit(self.version).alias("version"), F.col("id").cast("int").alias("slot"), self.column(F.col("id")).alias("shard"))
+
+    def save(self, spark, path: str) -> None:
+        """Adds this version to the maps at a path, in a folder of its own; one that is there is an error."""
+        self.table(spark).drop("version").write.mode("errorifexists").parquet(f"{path}/version={self.version}")
+
+    @staticmethod
+    def load(spark, path: str, version: int | None = None) -> SlotMap:
+        """A version at a path, or the latest."""
+        maps = spark.read.parquet(path)
+        version = maps.agg(F.max("version")).first()[0] if version is None else version
+        rows = maps.where(F.col("version") == version).orderBy("slot").collect()  # one row for each slot
+        return SlotMap(version, max(r["shard"] for r in rows) + 1, tuple(r["shard"] for r in rows))
 
 
 def _nearest(sizes: list[tuple[int, int]], wanted: float) -> tuple[int | None, int]:
@@ -129,15 +141,20 @@ def slot_bytes(records: DataFrame) -> DataFrame:
     return records.groupBy("vslot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
 
 
-def assign(docs: DataFrame, n_shards: int = 8, *, id_col: str = "doc_id", text_col: str = "text", n_slots: int = N_SLOTS, current: SlotMap | None = None) -> tuple[DataFrame, SlotMap]:
+def assign(docs: DataFrame, n_shards: int = 8, *, id_col: str = "doc_id", text_col: str = "text", n_slots: int = N_SLOTS, current: SlotMap | None = None, store: str | None = None) -> tuple[DataFrame, SlotMap]:
     """(doc_id, size, text_crc32, vslot, shard, slot) of each record, and the map in force.
 
     slot: the record's place in its shard, from 0 without gaps: places are counted inside virtual slots, each of
-    which starts where the one before it in the shard ends. current: the map to edit, else version 1.
+    which starts where the one before it in the shard ends. current: the map to edit, else version 1. store: a path
+    to which the versions made here are added.
     """
     records = cut(sized(docs, id_col=id_col, text_col=text_col, n_slots=n_slots))
     per_slot = slot_bytes(records).collect()  # one row for each virtual slot at most
-    plan = (current or SlotMap.even(n_shards, n_slots)).rebalanced({r["vslot"]: r["bytes"] for r in per_slot})
+    first = current or SlotMap.even(n_shards, n_slots)
+    plan = first.rebalanced({r["vslot"]: r["bytes"] for r in per_slot})
+    if store:
+        for made in (plan,) if current else (first, plan):
+            made.save(docs.sparkSession, store)
     start, filled = [0] * n_slots, [0] * plan.n_shards
     for r in sorted(per_slot, key=lambda r: r["vslot"]):
         start[r["vslot"]] = filled[plan.shard_of[r["vslot"]]]
