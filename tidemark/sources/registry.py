@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import column
 from ..functions.sanitize import date_columns, scrub_sentinels
+from ..operators import profile
 from ..operators.cdc import in_window
 
 #: Texts of errors that repeating won't mend, and of those that it may.
@@ -116,6 +117,24 @@ def table_configs(tables: DataFrame, columns: DataFrame, *, large: bool | None =
     return out
 
 
+def sync_columns(df: DataFrame, config: TableConfig, known: DataFrame | None = None, *, refresh_keys: bool = False) -> list[ColumnConfig]:
+    """Column configurations of a table, made once from its schema; known ones stay unless their keys are refreshed.
+
+    Files have no constraints, so keys are those that a profile recommends; none if no column or pair is unique.
+    """
+    table = config.stage_table_name or config.source_object_name
+    have = []
+    if known is not None:
+        rows = known.where((column("source_name") == config.source_name) & (column("table_name") == table)).orderBy("ordinal_position").collect()
+        have = [ColumnConfig(**{k: v for k, v in r.asDict().items() if k in ColumnConfig.__dataclass_fields__}) for r in rows]
+    if have and not refresh_keys:
+        return have
+    own = [c for c in df.columns if not c.startswith("_")]
+    found = profile.recommend(df, own)
+    keys = set() if "not unique" in found.reason else set(found.columns)
+    return [ColumnConfig(config.source_name, table, c, i, is_primary_key=c in keys) for i, c in enumerate(own, 1)]
+
+
 def known_sources(tables: DataFrame) -> DataFrame:
     return tables.select("source_name").distinct()
 
@@ -186,6 +205,11 @@ def extract_range(spark: SparkSession, config: TableConfig, start: date, end: da
     return in_window(extract_full(spark, config, scrub=scrub), config.source_aggregate_column_name, str(start), str(end))
 
 
+def extract_days(spark: SparkSession, config: TableConfig, first: date, last: date, *, scrub: bool = True) -> DataFrame:
+    """Rows of the days from first to last, both included: one range filter, not a loop over days."""
+    return extract_range(spark, config, first, last + timedelta(days=1), scrub=scrub)
+
+
 def extract_windowed(spark: SparkSession, config: TableConfig, day: date, *, overlap_minutes: int = 0, scrub: bool = True) -> DataFrame:
     """Rows of one day; an overlap extends the window backwards and never moves it."""
     if overlap_minutes:
@@ -209,5 +233,10 @@ def with_null_partition(df: DataFrame, name: str, supplement: DataFrame) -> Data
     return df.where(column(name).isNotNull()).unionByName(supplement.where(column(name).isNull()))
 
 
+def row_count(df: DataFrame) -> int:
+    """The number of rows; for Parquet without filters it is read from footers."""
+    return df.count()
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
