@@ -68,7 +68,8 @@ def simhash(own: str) -> Column:
         return first.bitwiseOR(F.when(2 * high > F.size(own), shifted("shiftleft", one, b + 32)).otherwise(zero))
 
     bits = F.transform(F.transform(F.sequence(F.lit(0), F.lit(31)), counted), placed)
-    return F.aggregate(bits, zero, lambda acc, x: acc.bitwiseOR(x))
+    # never null, and said so: else a filter for nulls is inferred and pushed to where the words aren't a column yet
+    return F.coalesce(F.aggregate(bits, zero, lambda acc, x: acc.bitwiseOR(x)), zero)
 
 
 def _block_values(fp: Column, radius: int) -> list[Column]:
@@ -77,9 +78,14 @@ def _block_values(fp: Column, radius: int) -> list[Column]:
     return [F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:])]
 
 
-def _blocks(fp: Column, radius: int) -> Column:
-    """The values of radius + 1 blocks of bits, each with its block's number."""
-    return F.array(*(F.struct(F.lit(i).alias("no"), v.alias("value")) for i, v in enumerate(_block_values(fp, radius))))
+def _by_block(df: DataFrame, fp: str, radius: int) -> DataFrame:
+    """A row of df for each of radius + 1 blocks of bits of its fingerprint, with the block's number and value.
+
+    The numbers are a literal: exploding an array made of the fingerprint would make the optimizer filter on its size,
+    and the fingerprint would be computed again for each of its uses there.
+    """
+    numbered = df.withColumn("block_no", F.explode(F.lit(list(range(radius + 1)))))
+    return numbered.withColumn("block_value", F.get(F.array(*_block_values(F.col(fp), radius)), F.col("block_no")))
 
 
 def _bounded(df: DataFrame, n_rows: int, limit: int) -> DataFrame:
@@ -121,14 +127,13 @@ def contaminated(
 
     n_items = sum(r["items"] for r in per_size)
     index = items.withColumn("item_fp", simhash("item_words"))
-    index = index.select("item_id", "item_words", "size", "k", "item_fp", F.explode(_blocks(F.col("item_fp"), radius)).alias("block"))
-    near = probed.withColumn("block", F.explode(_blocks(F.col("fp"), radius))).join(_bounded(index, n_items * (radius + 1), broadcast_rows // 50), ["size", "block"])
+    index = _by_block(index.select("item_id", "item_words", "size", "item_fp"), "item_fp", radius)
+    near = _by_block(probed, "fp", radius).join(_bounded(index, n_items * (radius + 1), broadcast_rows // 50), ["size", "block_no", "block_value"])
     near = near.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
     # a pair meets in several blocks: only the first in which the two agree counts
-    own_no = F.col("block.no")
     earlier = F.lit(False)
     for i, (a, b) in enumerate(zip(_block_values(F.col("fp"), radius), _block_values(F.col("item_fp"), radius))):
-        earlier = earlier | ((F.lit(i) < own_no) & (a == b))
+        earlier = earlier | ((F.lit(i) < F.col("block_no")) & (a == b))
     # used three times below, and small: only what is within the radius of an item
     pairs = cut(near.where(~earlier).select("doc_id", "item_id", "first", "size", "window", "item_words"))
 
