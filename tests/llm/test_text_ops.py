@@ -187,3 +187,10 @@ def test_redaction(spark, docs):
     got = {r["doc_id"]: r for r in pii.redacted(docs).collect()}
     assert got[12]["text"] == "mail [EMAIL] or [PHONE], host [IP], card [CARD] <|endoftext|> ok"
     assert got[4]["text"] is None and got[0]["text"] == brute.TEXTS[0][1] and got[0]["a.b"] == "x"
+
+
+def test_written_tables_can_be_cleared(spark):
+    from tidemark.llm.common import clear_written, written
+
+    df = written(spark.range(3).toDF("x"), "some")
+    assert df.count() == 3 and clear_written(spark) > 0 and clear_written(spark) == 0

@@ -47,14 +47,30 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_WRITTEN: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df written as compressed Parquet in the shared folder and read again; for what is used more than once."""
+    """df written as compressed Parquet in the shared folder and read again; for what is used more than once.
+
+    Plans that read it need the files, so they stay until clear_written().
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_written(spark: SparkSession) -> int:
+    """Deletes what this process has written so far; to be called when all results have been used. Returns how many."""
+    jvm, n = spark._jvm, 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions, which the cluster's owner sizes with the data."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
