@@ -526,7 +526,7 @@ def similar_groups(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5
     dealt = tiled.repartition(partitions(spark), "bucket", "tile").sortWithinPartitions("bucket", "tile", "probe")
     pairs = cut(map_batches(dealt, _candidates(radius, similarity, forests), "a long, b long").distinct())
     ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    held = known.join(ends, known["doc_id"] == ends["id"], "left_semi").dropDuplicates(["doc_id"])
+    held = known.join(ends, known["doc_id"] == ends["id"], "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))  # of rows that repeat an id, always the same one
     sets = written(map_batches(held, _shingle_sets(shingle), "id long, keys binary"), "shingle-sets")
     met = pairs.join(sets.select(F.col("id").alias("a"), F.col("keys").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("keys").alias("y")), "b").select("a", "b", "x", "y")
     closed = components(map_batches(met, _verified(similarity), "a long, b long"))
