@@ -103,24 +103,30 @@ def fit(rows: list[tuple[str, str]], *, max_grams: int = 16_000, n_landmarks: in
     import numpy as np
 
     langs = tuple(sorted({lang for _, lang in rows}))
-    counts: dict[int, int] = {}
-    for text, _ in rows:
-        for n in GRAMS:
-            for code in np.unique(_codes(_bytes(text), n)).tolist():
-                counts[code] = counts.get(code, 0) + 1
-    least = 2 if len(rows) > 20 else 1
-    kept = sorted(sorted((c for c in counts if counts[c] >= least), key=lambda c: (-counts[c], c))[:max_grams])
-    grams = np.array(kept or [0], np.uint64)
+    # in how many texts each n-gram is; the most frequent are kept, ties by their code
+    own = [np.unique(np.concatenate([_codes(data, n) for n in GRAMS])) for data in (_bytes(text) for text, _ in rows)]
+    codes, texts_with = np.unique(np.concatenate(own), return_counts=True)
+    del own
+    often = texts_with >= (2 if len(rows) > 20 else 1)
+    codes, texts_with = codes[often], texts_with[often]
+    kept = np.sort(codes[np.lexsort((codes, -texts_with))[:max_grams]])
+    grams = kept if len(kept) else np.zeros(1, np.uint64)
     table = _lookup(grams)
-    p = np.zeros((len(rows), len(grams)), np.float32)
-    for row, (text, _) in zip(p, rows):
-        presence(text, grams, table, row)
+
+    def present(chosen: list[int]):
+        p = np.zeros((len(chosen), len(grams)), np.float32)
+        for row, i in zip(p, chosen):
+            presence(rows[i][0], grams, table, row)
+        return p
+
     y = np.array([[float(lang == x) for x in langs] for _, lang in rows])
     by_lang = [[i for i, (_, lang) in enumerate(rows) if lang == x] for x in langs]
     chosen = sorted({i for own in by_lang for i in own[: max(1, n_landmarks // len(langs))]})
-    landmarks = p[chosen] / np.sqrt(np.maximum(p[chosen].sum(axis=1, keepdims=True), 1))
-    k = kernel(p, landmarks).astype(np.float64)
-    values, vectors = np.linalg.eigh(kernel(p[chosen], landmarks).astype(np.float64))
+    p = present(chosen)
+    landmarks = p / np.sqrt(np.maximum(p.sum(axis=1, keepdims=True), 1))
+    values, vectors = np.linalg.eigh(kernel(p, landmarks).astype(np.float64))
+    # a few texts at a time: the presence of all of them would take many times the room of their kernel values
+    k = np.concatenate([kernel(present(list(range(at, min(at + 256, len(rows))))), landmarks) for at in range(0, len(rows), 256)]).astype(np.float64)
     good = values > 1e-6 * max(values.max(), 1e-12)
     to_features = vectors[:, good] / np.sqrt(values[good])  # the Nyström map
     z = k @ to_features
