@@ -270,7 +270,7 @@ def _fitted(n: int, seed: int, n_trees: int, depth: int, precision: float) -> Bo
     model = GBTClassifier(maxIter=n_trees, maxDepth=depth, seed=seed).fit(vectors.where("id % 2 = 0"))
     boosted = Boosted(tuple(names), tuple(_parsed(model.toDebugString, names)), tuple(map(float, model.treeWeights)), ())
     # calibration: for each generator the lowest score at and above which the other half reaches the precision
-    own = rows.where("id % 2 = 1").select("generator", "label", boosted.probability({k: F.col(k) for k in names}).alias("p")).collect()
+    own = vectors.where("id % 2 = 1").select("generator", "label", boosted.probability({k: F.col(k) for k in names}).alias("p")).collect()
     vectors.unpersist()
     thresholds = []
     for g in range(len(GENERATORS)):
