@@ -106,6 +106,23 @@ def test_decontamination(spark, docs):
     assert decontam.contaminated(df, bench.where("false")).count() == 0
 
 
+def test_decontamination_of_items_cut_at_an_edge(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    items, docs, expected = [], [], {}
+    for i in range(240):
+        n = (13, 30, 40, 50, 60, 200)[i % 6]
+        w, c = [word() for _ in range(n)], (n - 4) // 9
+        items.append((i, " ".join(w)))
+        own = [word() for _ in range(c)] + w[c:] if i % 2 else w[:-c] + [word() for _ in range(c)]
+        docs.append((i, " ".join([word(), *own, word()])))
+        expected[i, i] = (n - 4 - c) / (n - 4 + c)
+    assert all(x >= 0.8 for x in expected.values())
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontam.contaminated(*frames).collect()}
+    assert got.keys() == expected.keys() and all(abs(got[k] - expected[k]) < 1e-9 for k in got)
+
+
 def test_decontamination_without_broadcast(spark, sf):
     d, b = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
     one, two = (sorted(map(tuple, decontam.contaminated(d, b, broadcast_rows=n).collect())) for n in (10**6, 0))

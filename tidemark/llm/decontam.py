@@ -5,13 +5,13 @@ weighted Jaccard similarity of their five-word shingles, weighted by occurrences
 
 1. Windows worth a look: a window that similar shares a shingle with the item, so only the alignments that a shared
    shingle implies are made, each once per item size. Nothing that could pass is left out.
-2. Each window and each item has a SimHash over its words (one edited word moves five shingles but one word). The
-   item fingerprints are indexed by `radius + 1` blocks of bits: fingerprints within the radius agree in a block, so
-   probing all blocks finds every pair within the radius.
-3. Pairs within the radius are verified by the exact similarity over the words themselves.
+2. Each window is counted against the items of its size that share a shingle with it, by hashes of the shingles: the
+   occurrences in common and the two sizes give the weighted similarity, and a hash that two shingles share can only
+   raise it. Nothing that could pass is left out.
+3. Pairs that reach the threshold so are verified by the exact similarity over the words themselves.
 
-The benchmark's shingles and fingerprints are broadcast only if their number, which is counted first, is within
-`broadcast_rows`; beyond it the same joins shuffle. Long documents with many shared shingles and passages that many
+The benchmark's shingles are broadcast only if their number, which is counted first, is within `broadcast_rows`;
+beyond it the same joins shuffle. Long documents with many shared shingles and passages that many
 documents share give one row per alignment, never pairs of documents.
 
 Defined results: a null or blank text holds nothing, and a null or blank item is held by nothing; an item of fewer
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_GAP, cut, named, partitions
+from .common import WORD_GAP, cut, named
 
 SHINGLE = 5
 SPACES = " \t\n\x0b\x0c\r"
@@ -72,20 +72,10 @@ def simhash(own: str) -> Column:
     return F.coalesce(F.aggregate(bits, zero, lambda acc, x: acc.bitwiseOR(x)), zero)
 
 
-def _block_values(fp: Column, radius: int) -> list[Column]:
-    n = radius + 1
-    edges = [64 * i // n for i in range(n + 1)]
-    return [F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:])]
-
-
-def _by_block(df: DataFrame, fp: str, radius: int) -> DataFrame:
-    """A row of df for each of radius + 1 blocks of bits of its fingerprint, with the block's number and value.
-
-    The numbers are a literal: exploding an array made of the fingerprint would make the optimizer filter on its size,
-    and the fingerprint would be computed again for each of its uses there.
-    """
-    numbered = df.withColumn("block_no", F.explode(F.lit(list(range(radius + 1)))))
-    return numbered.withColumn("block_value", F.get(F.array(*_block_values(F.col(fp), radius)), F.col("block_no")))
+def _counted_shingles(df: DataFrame, keep: list[str], own: str, k: int) -> DataFrame:
+    """(*keep, shingle, n): how often each run of k words of the array occurs. k words at least, and only hashes move."""
+    rows = _shingle_rows(df.withColumn("own_hashes", _word_hashes(own)), keep, "own_hashes", k)
+    return rows.groupBy(*keep, "shingle").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _bounded(df: DataFrame, n_rows: int, limit: int) -> DataFrame:
@@ -93,7 +83,7 @@ def _bounded(df: DataFrame, n_rows: int, limit: int) -> DataFrame:
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.8, radius: int = 12, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """(doc_id, item_id, similarity, first_word, n_words): each item that a document holds, at its best window.
@@ -106,7 +96,7 @@ def contaminated(
     own = texts.select("doc_id", words(F.col("text")).alias("words"))
 
     hashed = items.select("size", "k", _word_hashes("item_words").alias("hashes"))
-    per_size = items.groupBy("k").agg(F.sum(F.col("size") - F.col("k") + 1).alias("n"), F.count(F.lit(1)).alias("items")).collect()  # five rows at most
+    per_size = items.groupBy("k").agg(F.sum(F.col("size") - F.col("k") + 1).alias("n")).collect()  # five rows at most
     aligned = None
     for r in per_size:
         targets = _shingle_rows(hashed.where(F.col("k") == r["k"]), ["size"], "hashes", r["k"]).select("size", F.col("pos").alias("item_pos"), "shingle").distinct()
@@ -123,19 +113,24 @@ def contaminated(
     # texts are shuffled as they are: an array of their words takes several times the room
     held = texts.join(windows, "doc_id").select("doc_id", words(F.col("text")).alias("words"), F.explode("windows").alias("w"))
     held = held.select("doc_id", F.col("w.first").alias("first"), F.col("w.size").alias("size"), F.slice("words", F.col("w.first") + 1, F.col("w.size")).alias("window")).distinct()
-    probed = held.repartition(partitions(docs.sparkSession), "doc_id", "first", "size").withColumn("fp", simhash("window"))
-
-    n_items = sum(r["items"] for r in per_size)
-    index = items.withColumn("item_fp", simhash("item_words"))
-    index = _by_block(index.select("item_id", "item_words", "size", "item_fp"), "item_fp", radius)
-    near = _by_block(probed, "fp", radius).join(_bounded(index, n_items * (radius + 1), broadcast_rows // 50), ["size", "block_no", "block_value"])
-    near = near.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
-    # a pair meets in several blocks: only the first in which the two agree counts
-    earlier = F.lit(False)
-    for i, (a, b) in enumerate(zip(_block_values(F.col("fp"), radius), _block_values(F.col("item_fp"), radius))):
-        earlier = earlier | ((F.lit(i) < F.col("block_no")) & (a == b))
-    # used three times below, and small: only what is within the radius of an item
-    pairs = cut(near.where(~earlier).select("doc_id", "item_id", "first", "size", "window", "item_words"))
+    # read twice below: for counting and for the exact comparison
+    held = cut(held)
+
+    pairs = None
+    for r in per_size:
+        k = r["k"]
+        known = items.where(F.col("k") == k).select("item_id", "size", "item_words", F.xxhash64("item_words").alias("item_key")).distinct()
+        listed = _counted_shingles(known, ["item_id", "item_key", "size"], "item_words", k).withColumnRenamed("n", "item_n")
+        window = held.where(F.least("size", F.lit(SHINGLE)) == k).withColumn("length", F.size("window"))
+        met = _counted_shingles(window, ["doc_id", "first", "size", "length"], "window", k).join(_bounded(listed, r["n"], broadcast_rows), ["size", "shingle"])
+        met = met.groupBy("doc_id", "first", "size", "length", "item_id", "item_key").agg(F.sum(F.least("n", "item_n")).alias("both"))
+        either = F.col("length") + F.col("size") - 2 * (k - 1) - F.col("both")
+        met = met.where(F.col("both") >= (threshold - 1e-9) * either).select("doc_id", "first", "size", "item_id", "item_key")
+        near = met.join(known, ["item_id", "item_key", "size"]).join(held, ["doc_id", "first", "size"])
+        near = near.select("doc_id", "item_id", "first", "size", "window", "item_words")
+        pairs = near if pairs is None else pairs.unionByName(near)
+    # used three times below, and small: only what reaches the threshold by hashes
+    pairs = cut(pairs)
 
     same = pairs.where(F.col("window") == F.col("item_words")).select("doc_id", "item_id", F.lit(1.0).alias("similarity"), F.col("first").alias("first_word"), F.size("window").alias("n_words"))
     other = pairs.where(F.col("window") != F.col("item_words"))

@@ -26,7 +26,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), threshold=0.8, radius=12)
+    held = decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), threshold=0.8)
     return held.select("doc_id", "item_id", F.round("similarity", 9).alias("similarity"), "first_word", "n_words")
 
 
