@@ -267,6 +267,20 @@ def test_near_copies_of_edited_texts(spark, tile):
     assert all(expected[i] == expected[got[i]] for i in got)  # nothing is joined that isn't linked
 
 
+def test_near_copies_cut_or_continued(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    rows = []
+    for i in range(150):
+        w = [word() for _ in range(rng.randint(60, 400))]
+        short = len(w) - (len(w) - 4) // (5 if i % 3 else 9)  # similarity 0.8 or 0.89
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:short] if i % 2 else w[-short:]))]
+    expected = jaccard_groups(rows)
+    assert all(expected[2 * i + 1] == 2 * i for i in range(150))
+    got = {r["doc_id"]: r["component_id"] for r in simhash_dedup.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == expected
+
+
 def test_forest_is_least():
     import numpy as np
 

@@ -509,11 +509,172 @@ def _verified(similarity: float):
     return run
 
 
+def _verified_pairs(pairs: DataFrame, known: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """The pairs (a, b) of ids whose texts have this similarity or more, each compared exactly."""
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    held = known.join(ends, known["doc_id"] == ends["id"], "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))  # of rows that repeat an id, always the same one
+    sets = written(map_batches(held, _shingle_sets(shingle), "id long, keys binary"), "shingle-sets")
+    met = pairs.join(sets.select(F.col("id").alias("a"), F.col("keys").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("keys").alias("y")), "b").select("a", "b", "x", "y")
+    return map_batches(met, _verified(similarity), "a long, b long")
+
+
+def _frequent(known: DataFrame, shingle: int, sample: int = 10_000, limit: int = 100_000):
+    """Hashes of shingles that occur repeatedly in about `sample` texts, the rarest first; they are only put last in order."""
+    import numpy as np
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in _shingle_sets(shingle)(batches):
+            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int32))], ["key"])
+
+    share = int(min(1.0, sample / max(known.count(), 1)) * (1 << 30))
+    some = known.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) <= share)
+    rows = map_batches(some, run, "key int").groupBy("key").count().where("count > 1").orderBy(F.desc("count"), "key").limit(limit).collect()
+    return np.array([r["key"] for r in reversed(rows)], np.int32).view(np.uint32)
+
+
+def _prefixes(similarity: float, shingle: int, frequent):
+    """(id, prefix): the first hashes of each text in one order of all hashes, rare before frequent ones.
+
+    Sets of this similarity share so much that they share one of their first n - ceil(similarity * n) + 1 elements
+    in any order. The sets are those that are compared exactly, so no pair that would pass is left out.
+    """
+    import numpy as np
+
+    by_key = np.argsort(frequent)
+    keys_sorted = frequent[by_key]
+
+    def run(batches: Iterator) -> Iterator:
+        import math
+
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in _shingle_sets(shingle)(batches):
+            out = []
+            for own in batch.column(1).to_pylist():
+                own = np.frombuffer(own, np.uint32)
+                first = len(own) - math.ceil(similarity * len(own) - 1e-9) + 1 if len(own) else 0
+                rank = np.zeros(len(own), np.int64)
+                if len(keys_sorted):
+                    at = np.minimum(np.searchsorted(keys_sorted, own), len(keys_sorted) - 1)
+                    rank = np.where(keys_sorted[at] == own, by_key[at] + 1, 0)
+                # hashes are in order already, and a stable sort keeps that within a rank
+                out.append(own[np.argsort(rank, kind="stable")[:first]].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "prefix"])
+
+    return run
+
+
+def _postings(batches: Iterator) -> Iterator:
+    """(bucket, id): a row for each hash of a prefix."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        own = batch.column(1).to_pylist()
+        ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(x) // 4 for x in own])
+        yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(own), np.int32)), pa.array(ids, pa.int64())], ["bucket", "id"])
+
+
+def _shared(batches: Iterator) -> Iterator:
+    """From rows sorted by bucket: those of buckets with two rows or more."""
+    import numpy as np
+    import pyarrow as pa
+
+    bucket, ids, before = np.zeros(0, np.int32), np.zeros(0, np.int64), False  # the last row so far, and whether its bucket has another
+    for batch in batches:
+        bucket = np.concatenate([bucket, batch.column(0).to_numpy(zero_copy_only=False)])
+        ids = np.concatenate([ids, batch.column(1).to_numpy(zero_copy_only=False)])
+        if len(bucket) < 2:
+            continue
+        same = bucket[1:] == bucket[:-1]
+        keep = np.append(before, same[:-1]) | same
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[:-1][keep]), pa.array(ids[:-1][keep])], ["bucket", "id"])
+        bucket, ids, before = bucket[-1:], ids[-1:], bool(same[-1])
+    if before:
+        yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(ids)], ["bucket", "id"])
+
+
+def _crossing(similarity: float, chunk: int = 2_000_000):
+    """From rows sorted by bucket, tile and component: all pairs of different components whose sizes and sketches allow the similarity.
+
+    Sketches are asked of larger sets only, and up to six standard deviations: a pair of the similarity is beyond with
+    a probability of less than one in a million.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import math
+
+        import numpy as np
+        import pyarrow as pa
+
+        share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+        far = SKETCH_BITS * share + 6 * math.sqrt(SKETCH_BITS * share * (1 - share))
+
+        def across(bucket, tile, component, n, s1, s2, ids):
+            rows = len(bucket)
+            new = np.ones(rows, bool)
+            new[1:] = (bucket[1:] != bucket[:-1]) | (tile[1:] != tile[:-1])
+            apart = new.copy()
+            apart[1:] |= component[1:] != component[:-1]
+            ends = [np.repeat(np.append(f[1:], rows), np.diff(np.append(f, rows))) for f in (np.flatnonzero(new), np.flatnonzero(apart))]
+            own = np.flatnonzero(ends[0] > ends[1])
+            todo = (ends[0] - ends[1])[own]
+            upto, at = np.cumsum(todo), 0
+            while at < len(own):
+                done = upto[at - 1] if at else 0
+                stop = max(at + 1, int(np.searchsorted(upto, done + chunk, side="right")))
+                left = np.repeat(own[at:stop], todo[at:stop])
+                right = ends[1][left] + np.arange(len(left)) + done - np.repeat(upto[at:stop] - todo[at:stop], todo[at:stop])
+                low, high = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
+                near = low >= similarity * high - 1
+                left, right, low = left[near], right[near], low[near]
+                bits = np.bitwise_count(s1[left] ^ s1[right]).astype(np.int64) + np.bitwise_count(s2[left] ^ s2[right])
+                near = (bits <= far) | (low < 64)
+                a, b = ids[left[near]], ids[right[near]]
+                found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], ["a", "b"])
+                at = stop
+
+        held = None
+        for batch in batches:
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+            cols[4:6] = [c.view(np.uint64) for c in cols[4:6]]
+            held = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
+            last = (held[0] == held[0][-1]) & (held[1] == held[1][-1])
+            whole = int(np.argmax(last))
+            if whole:
+                yield from across(*(x[:whole] for x in held))
+                held = [x[whole:] for x in held]
+        if held is not None and len(held[0]):
+            yield from across(*held)
+
+    return run
+
+
+def _missed(known: DataFrame, info: DataFrame, similarity: float, shingle: int, tile: int) -> DataFrame:
+    """(a, b): all pairs of different components that may be similar, by prefix filtering; info: (id, component, n, s1, s2)."""
+    spark = known.sparkSession
+    prefixes = map_batches(known.where("doc_id is not null"), _prefixes(similarity, shingle, _frequent(known, shingle)), "id long, prefix binary")
+    own = prefixes.join(info.select("id").distinct(), "id", "left_semi")
+    dealt = map_batches(own, _postings, "bucket int, id long").repartition(partitions(spark), "bucket").sortWithinPartitions("bucket")
+    met = written(map_batches(dealt, _shared, "bucket int, id long"), "postings")
+    tiled = _tiled(met.join(info, "id").withColumn("probe", F.lit(False)), ["component", "n", "s1", "s2", "id"], tile).drop("probe")
+    dealt = tiled.repartition(partitions(spark), "bucket", "tile").sortWithinPartitions("bucket", "tile", "component")
+    return map_batches(dealt, _crossing(similarity), "a long, b long").distinct()
+
+
 def similar_groups(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5, radius: int = 9, forests: int = 2, tile: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, component_id): groups of documents linked by a Jaccard similarity of `similarity` or more of their shingles.
 
-    Candidates are pairs of fingerprints over words within the radius, found as in links(); the likeliest are compared
-    exactly. A null doc_id has a null component; equal documents are one entry.
+    First come pairs of fingerprints over words within the radius, found as in links(), of which the likeliest are
+    compared exactly: that closes large groups at little cost. Then all pairs between the groups so far that share a
+    shingle of their prefixes are compared exactly, whatever their fingerprints, so that no link is lost.
+    A null doc_id has a null component; equal documents are one entry.
     """
     spark = docs.sparkSession
     known = texts(docs, id_col, text_col)
@@ -525,11 +686,10 @@ def similar_groups(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5
     tiled = _tiled(rows, ["fp", "s1", "s2", "n", "id"], tile)
     dealt = tiled.repartition(partitions(spark), "bucket", "tile").sortWithinPartitions("bucket", "tile", "probe")
     pairs = cut(map_batches(dealt, _candidates(radius, similarity, forests), "a long, b long").distinct())
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    held = known.join(ends, known["doc_id"] == ends["id"], "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))  # of rows that repeat an id, always the same one
-    sets = written(map_batches(held, _shingle_sets(shingle), "id long, keys binary"), "shingle-sets")
-    met = pairs.join(sets.select(F.col("id").alias("a"), F.col("keys").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("keys").alias("y")), "b").select("a", "b", "x", "y")
-    closed = components(map_batches(met, _verified(similarity), "a long, b long"))
+    closed = cut(components(_verified_pairs(pairs, known, similarity, shingle)))
+    info = entries.join(closed, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "n", "s1", "s2")
+    more = _verified_pairs(cut(_missed(known, info, similarity, shingle, tile)), known, similarity, shingle)
+    closed = components(more.unionByName(closed.select(F.col("id").alias("a"), F.col("component").alias("b"))))
     named_entries = entries.join(closed, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
     return own.join(named_entries, key, "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
