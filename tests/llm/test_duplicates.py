@@ -281,6 +281,23 @@ def test_near_copies_cut_or_continued(spark):
     assert got == expected
 
 
+def test_near_copies_within_families_of_similar_texts(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    rows, pairs = [], []
+    for _ in range(8):
+        shared = [word() for _ in range(170)]
+        members = [[*shared, *(word() for _ in range(35))] for _ in range(60)]  # 0.70 from each other
+        a, b = rng.sample(range(60), 2)
+        members[b] = [*members[a][:188], *(word() for _ in range(17))]  # 0.84 from a
+        pairs.append(sorted((len(rows) + a, len(rows) + b)))
+        rows += [(len(rows) + i, " ".join(w)) for i, w in enumerate(members)]
+    expected = jaccard_groups(rows)
+    assert [i for i in expected if expected[i] != i] == [b for _, b in pairs]
+    got = {r["doc_id"]: r["component_id"] for r in simhash_dedup.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == expected
+
+
 def test_forest_is_least():
     import numpy as np
 
