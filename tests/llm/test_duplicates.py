@@ -129,16 +129,6 @@ def test_decontamination_without_broadcast(spark, sf):
     assert one == two
 
 
-def test_word_fingerprint(spark):
-    import numpy as np
-
-    df = spark.createDataFrame([("a b c a",), ("x",)], "t string").select(decontam.words(__import__("pyspark").sql.functions.col("t")).alias("w"))
-    rows = df.selectExpr("w", "transform(w, x -> xxhash64(x)) as h").withColumn("fp", decontam.simhash("w")).collect()
-    for r in rows:
-        bits = np.array([[(h >> b) & 1 for b in range(64)] for h in r["h"]]).sum(axis=0)
-        assert r["fp"] & (2**64 - 1) == sum(1 << b for b in range(64) if 2 * bits[b] > len(r["h"]))
-
-
 def test_chats(spark, sf):
     c = spark.read.parquet(f"{sf}/conversations.parquet")
     got, true = {}, {}
