@@ -7,8 +7,7 @@ a multiple of the block's length in the document that has it first. So:
 1. Index the non-overlapping blocks of every document, and probe the index with every rolling block-sized window
    of every document. Hashes are dealt out by home; a batch of documents sends each home one packed row.
 2. Blocks hit by another document anchor an extension to every window around them, on both sides. The owner of a
-   window sequence is the smallest id that has it (two 64-bit hashes for a sequence), and a run of windows owned by
-   smaller ids is a maximal exact repeat.
+   window sequence is the smallest id that has it, and a run of windows owned by smaller ids is a maximal exact repeat.
 3. Each document drops the words of its repeats.
 
 What a batch can decide by itself, it doesn't send: a block or window that a smaller id of the same batch has needs no
@@ -16,6 +15,10 @@ other witness. So a passage that a third of all documents share is sent a few ti
 and no pairs are made. A home keeps one entry per distinct block and reads the probes as a stream. The texts are
 shuffled once, by id; both later steps read that one exchange.
 
+Sequences are equal if all 128 bits of their hashes are: words by XXH3-128, sequences by mixing the two halves of
+their words' hashes separately, so of 10**13 different windows fewer than one pair in 10**12 tries is taken for equal.
+Both halves go with a window, so what is decided between batches is decided by the same 128 bits as within one.
+
 Defined results: a null text has no words; rows with a null id own nothing and lose nothing; rows that repeat an id
 are one document as owners, and each is judged alone; a document shorter than a window loses nothing; an empty table
 gives an empty table; other columns are ignored.
@@ -28,39 +31,13 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept_in_worker, map_batches, partitions, texts
+from .common import map_batches, partitions, texts
 
 #: What homes report: documents of a part of the ids, how many entries each has, and the entries.
 HITS = "part int, home int, doc_ids binary, sizes binary, keys binary"
 STARTS = "part int, doc_ids binary, sizes binary, starts binary"
-#: Fixed by the engine: a 64-bit hash is taken modulo 2**64, so multipliers are odd.
-FACTORS = ((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F), (0xD1342543DE82EF95, 0xA0761D6478BD642F))
-
-
-def _power_table(factor: int):
-    """(powers of the factor, of its inverse) modulo 2**64, for every place in a run of bytes."""
-
-    def make():
-        import numpy as np
-
-        n = 1 << 20
-        tables = []
-        for base in (factor, pow(factor, -1, 1 << 64)):
-            powers = np.full(n, base, np.uint64)
-            powers[0] = 1
-            tables.append(np.multiply.accumulate(powers))
-        return tables
-
-    return kept_in_worker(("powers", factor), make)
-
-
-def _byte_values(seed: int):
-    def make():
-        import numpy as np
-
-        return np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-    return kept_in_worker(("bytes", seed), make)
+#: Odd multipliers of the two halves of a sequence's hash.
+FACTORS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 
 def _words(data):
@@ -74,32 +51,6 @@ def _words(data):
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def _word_hashes(data, first, end, which: int):
-    """A 64-bit polynomial hash of each word's bytes, from running sums over pieces of the bytes."""
-    import numpy as np
-
-    forward, backward = _power_table(FACTORS[which][0])
-    values = _byte_values(which)
-    out, n = np.zeros(len(first), np.uint64), len(forward)
-    at = 0
-    while at < len(first):
-        # the words that fit a piece; a word longer than a piece is hashed by itself
-        start = first[at]
-        upto = int(np.searchsorted(end, start + n, side="right"))
-        if upto <= at:
-            import xxhash
-
-            out[at], at = xxhash.xxh64_intdigest(data[start : end[at]].tobytes(), which), at + 1
-            continue
-        piece = data[start : end[upto - 1]]
-        sums = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum(values[piece] * forward[: len(piece)], out=sums[1:])
-        a, b = first[at:upto] - start, end[at:upto] - start
-        out[at:upto] = (sums[b] - sums[a]) * backward[a]
-        at = upto
-    return _mixed(out ^ (end - first).astype(np.uint64))
-
-
 def _mixed(acc):
     import numpy as np
 
@@ -109,17 +60,23 @@ def _mixed(acc):
 
 
 def _rolling(h, k: int, which: int):
-    """The mixed polynomial hash of every k consecutive word hashes."""
+    """The hash of every k consecutive word hashes, from those of runs half as long; each step mixes all bits."""
     import numpy as np
 
-    n, factor = len(h) - k + 1, FACTORS[which][1]
-    if n <= 0:
+    if len(h) < k:
         return np.zeros(0, np.uint64)
-    acc, power = np.zeros(n, np.uint64), 1
-    for j in range(k):
-        acc += h[j : j + n] * np.uint64(power)
-        power = power * factor % (1 << 64)
-    return _mixed(acc)
+
+    def joined(left, n_left: int, right, n_right: int):
+        n = len(h) - n_left - n_right + 1
+        return _mixed(left[:n] * np.uint64(FACTORS[which]) + right[n_left : n_left + n])
+
+    out, n_out, power, n_power = None, 0, h, 1
+    while True:
+        if k & n_power:
+            out, n_out = (power, n_power) if out is None else (joined(out, n_out, power, n_power), n_out + n_power)
+        if n_out == k:
+            return _mixed(out) if k == n_power else out
+        power, n_power = joined(power, n_power, power, n_power), 2 * n_power
 
 
 class _Texts:
@@ -132,10 +89,11 @@ class _Texts:
         self.ids = np.array([r[0] for r in rows], np.int64)
         self.data = np.frombuffer(b"\n".join(r[1] for r in rows), np.uint8)
         offset = np.cumsum([0, *(len(r[1]) + 1 for r in rows)])
-        self.first, self.end = _words(self.data)
-        self.doc = np.searchsorted(offset, self.first, side="right") - 1
+        first, _ = _words(self.data)
+        self.doc = np.searchsorted(offset, first, side="right") - 1
         self.begin = np.searchsorted(self.doc, np.arange(len(rows)))  # each document's first word
-        self.place = np.arange(len(self.first)) - self.begin[self.doc]
+        self.place = np.arange(len(first)) - self.begin[self.doc]
+        self._hashes = None
 
     def runs(self, k: int):
         """The words at which k words of one document start."""
@@ -145,7 +103,14 @@ class _Texts:
         return np.flatnonzero(self.doc[:n] == self.doc[k - 1 :]) if n > 0 else np.zeros(0, np.int64)
 
     def hashes(self, which: int):
-        return _word_hashes(self.data, self.first, self.end, which)
+        """One half of each word's 128-bit hash."""
+        import numpy as np
+        import xxhash
+
+        if self._hashes is None:
+            # split() of bytes cuts at \x20 and \x09-\x0D, as _words() does
+            self._hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, self.data.tobytes().split())), "<u8").reshape(-1, 2)
+        return self._hashes[:, which]
 
 
 def _block_keys(texts: _Texts, at, block: int, n_homes: int):
@@ -398,7 +363,7 @@ def _extended(window: int, n_homes: int, size: int):
             blocks = own.runs(block)
             home, key = _block_keys(own, blocks, block, n_homes)
             pair = (home.astype(np.uint64) << np.uint64(32)) | key
-            anchor = np.zeros(len(own.first) + 1, np.int64)
+            anchor = np.zeros(len(own.place) + 1, np.int64)
             edge = np.searchsorted(own.doc[blocks], np.arange(len(rows) + 1))
             for d, (a, b) in enumerate(zip(edge, edge[1:])):
                 if b > a:
@@ -416,11 +381,11 @@ def _extended(window: int, n_homes: int, size: int):
             decided = np.repeat(doc[edge[:-1]], np.diff(edge)) < doc
             home = np.where(decided, -1, (other % np.uint64(n_homes)).astype(np.int64))
             order = np.lexsort((place, doc, home))
-            key, doc, place, home = key[order], doc[order], place[order], home[order]
+            both, doc, place, home = np.stack([key, other], axis=1)[order], doc[order], place[order], home[order]
             edge, out = _split(home), []
             for a, b in zip(edge, edge[1:]):
                 docs, sizes = np.unique(doc[a:b], return_counts=True)
-                out.append((int(home[a]), _zip(own.ids[docs]), _zip(sizes), _zip(place[a:b]), b"" if home[a] < 0 else key[a:b].astype("<u8").tobytes()))
+                out.append((int(home[a]), _zip(own.ids[docs]), _zip(sizes), _zip(place[a:b]), b"" if home[a] < 0 else both[a:b].astype("<u8").tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), *[pa.binary()] * 4))], ["home", "doc_ids", "sizes", "places", "keys"])
 
     return extended
@@ -439,9 +404,9 @@ def _repeated(n_parts: int):
 
         def owned():
             key, doc, place = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((place, doc, key))
+            order = np.lexsort((place, doc, key[:, 1], key[:, 0]))
             key, doc, place = key[order], doc[order], place[order]
-            edge = _split(key)
+            edge = _split(key[:, 0], key[:, 1])
             later = np.repeat(doc[edge[:-1]], np.diff(edge)) < doc
             doc, place = doc[later], place[later]
             order = np.lexsort((place, doc))
@@ -459,7 +424,7 @@ def _repeated(n_parts: int):
                     owned()
                     held = []
                 at = home
-                held.append((np.frombuffer(keys, "<u8"), doc, place))
+                held.append((np.frombuffer(keys, "<u8").reshape(-1, 2), doc, place))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
                 out = []
