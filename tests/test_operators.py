@@ -235,3 +235,17 @@ def test_weekday_baseline_falls_back(spark):
     df = spark.createDataFrame(rows, "CompletedAt timestamp_ntz, RowsProcessed long")
     got = guards.weekday_baseline(df, date(2024, 1, 9)).first()
     assert got["same_weekday"] is False and got["baseline"] == 45
+
+
+def test_plans_of_latest_and_integrity(spark):
+    """The newest row of a key is carried once through one exchange; the integrity checks share an exchange by key."""
+    from tidemark.operators import keys, reconcile
+
+    df = spark.createDataFrame([(1, 2, "a"), (1, 3, "b"), (1, 3, None), (2, None, "c")], "k long, t int, v string")
+    newest = keys.latest(df, ["k"], ["t"])
+    assert sorted(map(tuple, newest.collect())) == [(1, 3, "b"), (2, None, "c")]
+    plan = newest._jdf.queryExecution().optimizedPlan().toString()
+    assert "max_by" not in plan
+    history = spark.sql("select 1L k, 'h' UdmHash, timestamp_ntz'2024-01-01' UdmEffectiveDateTime, cast(null as timestamp_ntz) UdmEndDateTime, 1Y UdmActiveFlag, 'I' UdmScd2Operation")
+    plan = reconcile.integrity(history, ["k"])._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Window [") == 1

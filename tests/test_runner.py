@@ -140,3 +140,22 @@ def test_stream_windows(spark, tmp_path, sf):
     q = changes.daily_counts(stream, "ts").writeStream.format("memory").queryName("days").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("days").agg(F.sum("n")).first()[0] == spark.read.parquet(f"{sf}/events.parquet").count()
+
+
+def test_stale_lock_is_taken_by_one(spark, tmp_path):
+    """Two that see the same stale lock: the one that comes later doesn't delete the lock of the first."""
+    held = TableLock(spark, str(tmp_path), "s", "u")
+    assert held.acquire()
+    first, second = (TableLock(spark, str(tmp_path), "s", "u", stale_s=-1) for _ in range(2))
+    seen = second.files.text
+
+    def late(name):
+        text = seen(name)
+        if name == second.name and text == held.token:
+            second.files.text = seen
+            assert first.acquire()  # between the look and the takeover
+        return text
+
+    second.files.text = late
+    assert not second.acquire()
+    assert first.heartbeat() and not held.heartbeat() and not second.heartbeat()

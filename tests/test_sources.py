@@ -92,3 +92,13 @@ def test_command_line(spark, tmp_path, capsys):
     assert "t: SUCCESS" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         main(["small", "--config", conf, "--table", "nope"], spark)
+
+
+def test_ranges_reach_the_scan(spark, sf):
+    """With sentinel dates scrubbed, as by default, the range is among the filters of the Parquet scan."""
+    r.register_source(r.Source("plans", "parquet", sf))
+    config = r.TableConfig("plans", "orders", source_aggregate_column_name="o_orderdate")
+    for df in (r.extract_range(spark, config, date(1995, 1, 1), date(1995, 2, 1)), r.extract_windowed(spark, config, date(1995, 1, 1), overlap_minutes=30)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        pushed = plan[plan.index("PushedFilters") :].split("\n")[0]
+        assert "GreaterThanOrEqual(o_orderdate" in pushed and "LessThan(o_orderdate" in pushed

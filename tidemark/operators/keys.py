@@ -38,8 +38,8 @@ def null_key_sample(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame
 def latest(df: DataFrame, keys: Sequence[str], by: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the last by `by`, ties by all columns in descending order.
 
-    The whole row is the aggregate's value, so rows of a key are combined before the shuffle and no key's rows are
-    gathered in a window.
+    The row itself, in the order of comparison, is the aggregate's value, so it is carried once, rows of a key are
+    combined before the shuffle, and no key's rows are gathered in a window.
     """
     rest = [c for c in df.columns if c not in set(keys)]
     orderable = [c for c in rest if not isinstance(df.schema[c].dataType, (T.MapType,))]
@@ -47,7 +47,9 @@ def latest(df: DataFrame, keys: Sequence[str], by: Sequence[str] | None = None)
     rank = F.struct(*(column(c) for c in (*first, *(c for c in orderable if c not in first))))
     if not rest:
         return df.dropDuplicates(list(keys))
-    best = df.groupBy(*(column(k) for k in keys)).agg(F.max_by(F.struct(*(column(c) for c in rest)), rank).alias("_best"))
+    # a map can't be compared, so such a row goes beside its rank
+    whole = F.max(rank) if len(orderable) == len(rest) else F.max_by(F.struct(*(column(c) for c in rest)), rank)
+    best = df.groupBy(*(column(k) for k in keys)).agg(whole.alias("_best"))
     return best.select(*(column(c) if c in set(keys) else F.col("_best")[c].alias(c) for c in df.columns))
 
 
@@ -81,12 +83,14 @@ def align_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[
     return left, right
 
 
-def numbered(df: DataFrame, order: Sequence[str], start: Column | int = 0, name: str = "_scd2_key", buckets: int = 1024) -> DataFrame:
+def numbered(df: DataFrame, order: Sequence[str], start: Column | int = 0, name: str = "_scd2_key", buckets: int | None = None) -> DataFrame:
     """df with dense numbers from start + 1, reproducible and without gathering all rows in one task.
 
     Rows are numbered inside hash buckets of their order columns; a bucket starts where the one before it ends. The
-    sums over buckets are `buckets` rows.
+    sums over buckets are `buckets` rows: sixteen for each shuffle partition, which is sized with the data, and 1,024
+    at least. The same number of buckets gives the same numbers.
     """
+    buckets = buckets or max(1024, 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     at = F.pmod(F.xxhash64(*(column(c) for c in order)), F.lit(buckets)).cast("int")
     own = df.withColumn("_bucket", at)
     counts = own.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))

@@ -140,8 +140,18 @@ def gaps(history: DataFrame, keys: Sequence[str], seconds: int = GAP_SECONDS) ->
 
 def integrity(history: DataFrame, keys: Sequence[str], *, deletions_are_faults: bool = False) -> DataFrame:
     """One row: overlapping versions, keys without an active version, gaps, inverted intervals."""
-    one = [df.agg(F.count(F.lit(1)).alias(name)) for df, name in ((overlaps(history, keys), "overlapping_intervals"), (zero_active(history, keys), "zero_active_pks"), (gaps(history, keys), "version_gaps"), (inverted(history), "inverted_intervals"))]
-    row = beside(*one)
+    end, by_time = F.coalesce(column(END), F.lit(FAR).cast("timestamp_ntz")), _by_time(keys, history)
+    tie = KEY if KEY in history.columns else VERSION_HASH
+    whole = lambda c: F.unix_timestamp(c.cast("timestamp"))
+    own = history.select(*(column(k) for k in keys), column(START), column(END), column(ACTIVE), *([] if tie in keys else [column(tie)]))
+    # one window for what the four checks look back at, and one aggregate by the same keys: a single exchange
+    own = own.withColumns({"_reached": F.max(end).over(by_time.rowsBetween(Window.unboundedPreceding, -1)), "_before": F.lag(end).over(by_time)})
+    total = own.groupBy(*(column(k) for k in keys)).agg(
+        _n((F.col("_reached") > column(START)) & (column(START) < end)).alias("_overlapping"), _n(column(ACTIVE) == 1).alias("_active"),
+        _n(whole(column(START)) - whole(F.col("_before")) > GAP_SECONDS).alias("_gaps"), _n(column(END) < column(START)).alias("_inverted"),
+    )
+    summed = lambda name: F.coalesce(F.sum(name), F.lit(0).cast("long"))
+    row = total.agg(summed("_overlapping").alias("overlapping_intervals"), _n(F.col("_active") == 0).alias("zero_active_pks"), summed("_gaps").alias("version_gaps"), summed("_inverted").alias("inverted_intervals"))
     bad = F.col("overlapping_intervals") + F.col("version_gaps") + F.col("inverted_intervals") + (F.col("zero_active_pks") if deletions_are_faults else F.lit(0))
     return row.withColumn("is_clean", bad == 0)
 

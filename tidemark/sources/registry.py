@@ -6,7 +6,7 @@ import random
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions.hashing import column
 from ..functions.sanitize import date_columns, scrub_sentinels
 from ..operators import profile
-from ..operators.cdc import in_window
 
 #: Texts of errors that repeating won't mend, and of those that it may.
 PERMANENT = ("syntax", "permission", "does not exist", "invalid column", "invalid object", "login failed", "access denied", "ora-00942", "ora-00904", "ora-01017", "ora-01031", "ora-00933", "ora-06550")
@@ -148,7 +147,7 @@ def is_permanent(error: BaseException | str) -> bool:
     text = str(error).lower()
     if any(t in text for t in TRANSIENT):
         return False
-    return any(p in text for p in PERMANENT) or isinstance(error, (KeyboardInterrupt, SystemExit))
+    return any(p in text for p in PERMANENT)
 
 
 def with_retries(f: Callable, *, tries: int = 3, wait: float = 2.0, sleep: Callable = time.sleep):
@@ -198,11 +197,27 @@ def extract_full(spark: SparkSession, config: TableConfig, *, scrub: bool = True
     return scrub_sentinels(df) if scrub and date_columns(df) else df
 
 
+def _within(spark: SparkSession, config: TableConfig, start: str, end: str, scrub: bool) -> DataFrame:
+    """Rows of [start, end) by the table's date column, with sentinel dates as null.
+
+    The range is on the column as it is read, so it reaches the scan; a query with a hint has it in its text.
+    """
+    name = config.source_aggregate_column_name
+    if not name:
+        raise ValueError(f"{config.source_object_name} has no date column to window by")
+    source = get_source(config.source_name)
+    at = lambda t: f"TIMESTAMP '{t if ' ' in t else t + ' 00:00:00'}'"
+    text = f"{name} >= {at(start)} AND {name} < {at(end)}" if source.kind == "jdbc" and config.source_index_hint else ""
+    df = with_retries(lambda: read(spark, source, config, where=text))
+    c, kind = column(name), df.schema[name].dataType
+    own = df.where((c >= F.lit(start).cast(kind)) & (c < F.lit(end).cast(kind)))
+    # a range that reaches the sentinels has rows whose date is null once it is scrubbed
+    return scrub_sentinels(own).where(c.isNotNull()) if scrub and date_columns(df) else own
+
+
 def extract_range(spark: SparkSession, config: TableConfig, start: date, end: date, *, scrub: bool = True) -> DataFrame:
     """Rows of [start, end) by the table's date column."""
-    if not config.source_aggregate_column_name:
-        raise ValueError(f"{config.source_object_name} has no date column to window by")
-    return in_window(extract_full(spark, config, scrub=scrub), config.source_aggregate_column_name, str(start), str(end))
+    return _within(spark, config, str(start), str(end), scrub)
 
 
 def extract_days(spark: SparkSession, config: TableConfig, first: date, last: date, *, scrub: bool = True) -> DataFrame:
@@ -212,15 +227,8 @@ def extract_days(spark: SparkSession, config: TableConfig, first: date, last: da
 
 def extract_windowed(spark: SparkSession, config: TableConfig, day: date, *, overlap_minutes: int = 0, scrub: bool = True) -> DataFrame:
     """Rows of one day; an overlap extends the window backwards and never moves it."""
-    if overlap_minutes:
-        if not config.source_aggregate_column_name:
-            raise ValueError(f"{config.source_object_name} has no date column to window by")
-        start = f"{day} 00:00:00"
-        df = extract_full(spark, config, scrub=scrub)
-        c, kind = column(config.source_aggregate_column_name), df.schema[config.source_aggregate_column_name].dataType
-        begin = F.lit(start).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(overlap_minutes))
-        return df.where((c >= begin.cast(kind)) & (c < F.lit(str(day + timedelta(days=1))).cast(kind)))
-    return extract_range(spark, config, day, day + timedelta(days=1), scrub=scrub)
+    begin = datetime.combine(day, datetime.min.time()) - timedelta(minutes=overlap_minutes)
+    return _within(spark, config, str(begin if overlap_minutes else day), str(day + timedelta(days=1)), scrub)
 
 
 def source_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
