@@ -620,6 +620,16 @@ def failed_dates(spark, d):
     return guards.failed_dates(done, "2024-01-05", "2024-01-20")
 
 
+@query("WITH done AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE day(ts) % 3 <> 0), days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-10', TIMESTAMP '2024-02-05', INTERVAL 1 DAY)) AS DATE) AS date) SELECT date FROM days WHERE date NOT IN (SELECT day FROM done) OR date >= DATE '2024-01-31'")
+def dates_to_process(spark, d):
+    from datetime import date
+
+    days = _table(spark, d, "events").select(F.to_date("ts").alias("day")).where(F.dayofmonth("day") % 3 != 0).distinct()
+    done = {r["day"] for r in days.collect()}  # a row for each day of a run's log
+    wanted = guards.dates_to_process(date(2024, 2, 6), date(2024, 1, 9), done, lookback=5)
+    return spark.createDataFrame([(x,) for x in wanted], "date date")
+
+
 @query("SELECT max(ts) AS newest, date_diff('second', max(ts), TIMESTAMP '2024-02-01 06:00:00') / 3600.0 AS age_hours, CASE WHEN date_diff('second', max(ts), TIMESTAMP '2024-02-01 06:00:00') / 3600.0 > 48 THEN 'error' WHEN date_diff('second', max(ts), TIMESTAMP '2024-02-01 06:00:00') / 3600.0 > 36 THEN 'warning' ELSE 'ok' END AS level FROM events")
 def freshness(spark, d):
     return guards.freshness(_table(spark, d, "events"), "ts", "2024-02-01 06:00:00")
@@ -657,6 +667,40 @@ def partition_stats(spark, d):
     return profile.partition_stats(_table(spark, d, "lineitem").select(F.when(F.col("l_orderkey") % 7 != 0, F.col("l_partkey")).alias("p")), "p")
 
 
+_SINGLE = "SELECT '{c}' AS columns, 'single unique column with a key''s name: {c} (' || count(DISTINCT {c}) || ' distinct values)' AS reason FROM {t}"
+
+
+@query(f"{_SINGLE.format(c='event_id', t='events')} UNION ALL {_SINGLE.format(c='o_orderkey', t='orders')}")
+def key_recommendations(spark, d):
+    found = [profile.recommend(_table(spark, d, "events"), ["ts", "event_id", "user_id"]), profile.recommend(_table(spark, d, "orders"), ["o_custkey", "o_orderkey"])]
+    return spark.createDataFrame([(",".join(r.columns), r.reason) for r in found], "columns string, reason string")
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 7 <> 0 THEN l_partkey END AS part FROM lineitem")
+def null_partition_supplement(spark, d):
+    own = _table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 7 != 0, F.col("l_partkey")).alias("part"))
+    return registry.with_null_partition(own.where("part is not null"), "part", own)
+
+
+_BARE = "{t} AS (SELECT substr(column_name, 3) AS name FROM (DESCRIBE {t}))"
+
+
+@query(f"WITH {_BARE.format(t='customer')}, {_BARE.format(t='supplier')} SELECT 'missing' AS kind, name FROM customer WHERE name NOT IN (SELECT name FROM supplier) UNION ALL SELECT 'unexpected', name FROM supplier WHERE name NOT IN (SELECT name FROM customer)")
+def schema_contract(spark, d):
+    supplier, customer = (_table(spark, d, t) for t in ("supplier", "customer"))
+    found = evolve.contract(supplier.toDF(*(c[2:] for c in supplier.columns)), [c[2:] for c in customer.columns])
+    return spark.createDataFrame([("missing", c) for c in found.missing] + [("unexpected", c) for c in found.unexpected], "kind string, name string")
+
+
+@query("WITH o AS (SELECT column_name AS name FROM (DESCRIBE orders)) SELECT 'kept' AS kind, name FROM o WHERE name <> 'o_orderpriority' UNION ALL SELECT 'removed', name FROM o WHERE name = 'o_orderpriority' UNION ALL SELECT 'added', 'o_extra'")
+def schema_evolution(spark, d):
+    old = _table(spark, d, "orders")
+    new = old.drop("o_orderpriority").withColumn("o_extra", F.lit(1.5)).schema
+    found = evolve.evolution(old.schema, new)
+    rows = [("added", c) for c in found.added] + [("removed", c) for c in found.removed] + [("kept", f.name) for f in found.schema.fields if f.name not in (*found.added, *found.removed)]
+    return spark.createDataFrame(rows, "kind string, name string")
+
+
 @query("SELECT DISTINCT CAST(ts AS DATE) AS date FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-15'")
 def distinct_dates(spark, d):
     return profile.distinct_dates(_table(spark, d, "events"), "ts", "2024-01-05", "2024-01-15")
