@@ -667,10 +667,11 @@ def partition_stats(spark, d):
     return profile.partition_stats(_table(spark, d, "lineitem").select(F.when(F.col("l_orderkey") % 7 != 0, F.col("l_partkey")).alias("p")), "p")
 
 
-_SINGLE = "SELECT '{c}' AS columns, 'single unique column with a key''s name: {c} (' || count(DISTINCT {c}) || ' distinct values)' AS reason FROM {t}"
+_NAMED = " with a key''s name"
+_SINGLE = "SELECT '{c}' AS columns, 'single unique column{named}: {c} (' || count(DISTINCT {c}) || ' distinct values)' AS reason FROM {t}"
 
 
-@query(f"{_SINGLE.format(c='event_id', t='events')} UNION ALL {_SINGLE.format(c='o_orderkey', t='orders')}")
+@query(f"{_SINGLE.format(c='event_id', t='events', named=_NAMED)} UNION ALL {_SINGLE.format(c='o_orderkey', t='orders', named='')}")
 def key_recommendations(spark, d):
     found = [profile.recommend(_table(spark, d, "events"), ["ts", "event_id", "user_id"]), profile.recommend(_table(spark, d, "orders"), ["o_custkey", "o_orderkey"])]
     return spark.createDataFrame([(",".join(r.columns), r.reason) for r in found], "columns string, reason string")
