@@ -6,8 +6,10 @@ landmark texts stands for the kernel's feature space, and one ridge regression p
 language against the rest. Batches of texts are scored by two matrix products: presence x landmarks, then kernel
 values x coefficients.
 
-The model is fitted on a bounded sample of labelled rows, `max_train` in all, spread evenly over the languages and
-chosen by a hash of the id. Everything else reads every whole text.
+The model is fitted on a bounded sample of labelled rows, `max_train` in all, spread evenly over the languages (what a
+rare one can't use, others get) and chosen by a hash of the id among rows of `max_chars` characters at most; a language
+without such a row is learned from its shortest ones. Of more languages than `max_train` the most frequent are learned.
+Everything else reads every whole text.
 
 Defined results: a null text or one without any letter is `und` with score 0; without any labelled row all texts
 are `und`; a null or repeated doc_id is passed through, a row for each input row; an empty table gives an empty
@@ -65,15 +67,16 @@ def _bytes(text: str):
 
 
 def _lookup(grams, bits: int = 18):
-    """A table of `1 << bits` places, two deep, from hash to gram; a gram that finds both taken isn't used."""
+    """Tables of `1 << bits` places from hash to gram, as many as it takes for every gram to have a place."""
     import numpy as np
 
-    table = np.full((2, 1 << bits), -1, np.int32)
-    at = _slots(grams, bits)
-    for row in table:
-        free = np.flatnonzero((row[at] < 0) & ~np.isin(np.arange(len(grams)), table))
-        row[at[free][::-1]] = free[::-1]
-    return table
+    tables, left, at = [], np.arange(len(grams)), _slots(grams, bits)
+    while len(left) or not tables:
+        row = np.full(1 << bits, -1, np.int32)
+        row[at[left][::-1]] = left[::-1]
+        tables.append(row)
+        left = left[row[at[left]] != left]
+    return np.stack(tables)
 
 
 def presence(text: str, grams, table, out) -> None:
@@ -107,8 +110,6 @@ def fit(rows: list[tuple[str, str]], *, max_grams: int = 16_000, n_landmarks: in
     own = [np.unique(np.concatenate([_codes(data, n) for n in GRAMS])) for data in (_bytes(text) for text, _ in rows)]
     codes, texts_with = np.unique(np.concatenate(own), return_counts=True)
     del own
-    often = texts_with >= (2 if len(rows) > 20 else 1)
-    codes, texts_with = codes[often], texts_with[often]
     kept = np.sort(codes[np.lexsort((codes, -texts_with))[:max_grams]])
     grams = kept if len(kept) else np.zeros(1, np.uint64)
     table = _lookup(grams)
@@ -135,27 +136,43 @@ def fit(rows: list[tuple[str, str]], *, max_grams: int = 16_000, n_landmarks: in
     return Model(langs, grams, table, landmarks.astype(np.float32), (to_features @ beta).astype(np.float32))
 
 
-def training_rows(docs: DataFrame, usable: Column, *, max_train: int = 2000, max_langs: int = 200, max_chars: int = 20_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
+def shares(counts: list[int], total: int) -> list[int]:
+    """How many of `total` each of some groups gets: as evenly as their sizes allow, one at least."""
+    out, left = [0] * len(counts), total
+    for done, i in enumerate(sorted(range(len(counts)), key=lambda i: (counts[i], i))):
+        out[i] = min(counts[i], max(1, left // (len(counts) - done)))
+        left -= out[i]
+    return out
+
+
+def training_rows(docs: DataFrame, usable: Column, *, max_train: int = 2000, max_chars: int = 20_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
     """(text, lang) of `max_train` usable labelled rows at most, as evenly over the languages as they go.
 
-    The frequent languages are thinned by a hash of the id before any row is gathered. Texts go to the driver, so
-    only rows of at most `max_chars` characters are sampled; they are learned from whole.
+    Languages are thinned by a hash of the id before any row is gathered. Texts go to the driver, so rows of at most
+    `max_chars` characters are sampled, or a language's shortest rows if all are longer; they are learned from whole.
     """
-    own = docs.where(usable & named(lang_col).isNotNull() & (F.char_length(named(text_col)) <= max_chars) & named(id_col).isNotNull())
+    own = docs.where(usable & named(lang_col).isNotNull() & named(id_col).isNotNull() & named(text_col).isNotNull())
     own = own.select(named(id_col).cast("long").alias("doc_id"), named(text_col).cast("string").alias("text"), named(lang_col).cast("string").alias("lang"))
-    counts = own.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    own = own.withColumn("length", F.char_length("text"))
+    short = F.col("length") <= max_chars
+    counts = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(short).alias("short"), F.min("length").alias("least")).orderBy(F.desc("n"), "lang").limit(max_train).collect()
     if not counts:
         return []
-    share = max(1, max_train // len(counts))
+    share = dict(zip((r["lang"] for r in counts), shares([r["short"] or 1 for r in counts], max_train)))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    thinned = [(F.col("lang") == r["lang"]) & (place < int(min(1.0, 1.3 * share / r["count"] + 8 / r["count"]) * (1 << 40))) for r in counts]
-    some = thinned[0]
-    for more in thinned[1:]:
-        some = some | more
-    taken = own.where(some).select("lang", "text", place.alias("place"), "doc_id").orderBy("place", "doc_id").limit(2 * max_train + 20 * len(counts)).collect()
-    rows, held = [], dict.fromkeys((r["lang"] for r in counts), 0)
+
+    def thinned(r) -> Column:
+        if not r["short"]:
+            return F.col("length") == r["least"]
+        return short & (place < int(min(1.0, (1.3 * share[r["lang"]] + 8) / r["short"]) * (1 << 40)))
+
+    some = F.lit(False)
+    for r in counts:
+        some = F.when(F.col("lang") == r["lang"], thinned(r)).otherwise(some)
+    taken = own.where(some).select("lang", "text", place.alias("place"), "doc_id").orderBy("place", "doc_id", "text").limit(2 * max_train + 20 * len(counts)).collect()
+    rows, held = [], dict.fromkeys(share, 0)
     for r in taken:
-        if held[r["lang"]] < share:
+        if held[r["lang"]] < share[r["lang"]]:
             held[r["lang"]] += 1
             rows.append((r["text"], r["lang"]))
     return rows
