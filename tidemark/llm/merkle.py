@@ -1,14 +1,16 @@
 """Document fingerprints: Merkle trees over sections, paragraphs and sentences.
 
-A paragraph is a line that isn't blank; a section is a run of paragraphs without a blank line between them, of 16 at
-most. The leaves of a paragraph are its sentences: a paragraph is often the whole document, and an edit should be
-located inside it. Every node's digest covers its kind and its children's digests, and the root also covers the raw
+A paragraph is a line that isn't blank. A section is a run of paragraphs: it ends at a blank line or after a paragraph
+whose own digest says so, one in eight, so an inserted paragraph changes its section and shifts no other. The leaves
+of a paragraph are its sentences, as a paragraph is often the whole document and an edit should be located inside it;
+a sentence of more than 16 words is cut after words whose checksum says so, for the same reason. A leaf's digest covers
+its text, that of a paragraph or section its kind and its children's digests, and the root's its sections' and the raw
 text, so that equal roots mean equal texts, white space included, and equal texts have equal fingerprints.
 
-A fingerprint is `root/section:leaf,leaf;leaf|section:...`: the root, then each section with its paragraphs, split
-by `;`, and their leaves. Two fingerprints are compared from the top: equal roots are equal texts; equal sections
-match whole; only what is left is compared by paragraphs and by leaves. The likeness is the Dice coefficient of the
-matched leaves.
+A fingerprint is `root/section:paragraph=leaf,leaf;paragraph=leaf|section:...`. Two fingerprints are compared from the
+top: equal roots are equal texts; equal sections, then equal paragraphs match whole; only what is left is compared by
+leaves. The likeness is the Dice coefficient of the matched leaves. Edits are located by aligning the sections, and
+inside of sections that differ their paragraphs.
 
 Defined results: a null or blank text has a tree without leaves; two such fingerprints are alike by 1 if equal, else
 0; the next document is that of the next id, ties by text, a null id before all; the last is followed by the first,
@@ -24,7 +26,8 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, partitions, texts
 
-SECTION = 16
+#: One in so many paragraphs ends a section; one in so many words ends a leaf of a sentence with more than LONG words.
+SECTION, LEAF, LONG = 8, 8, 16
 
 
 def _digest(data: bytes, size: int) -> str:
@@ -33,29 +36,65 @@ def _digest(data: bytes, size: int) -> str:
     return hashlib.blake2b(data, digest_size=size).hexdigest()
 
 
-def fingerprint(text: str | None) -> str:
-    """The fingerprint of a text; pure Python, for use in workers and tests."""
+def leaves(paragraph: str) -> list[str]:
+    """The texts of a paragraph's leaves."""
     import re
+    from zlib import crc32
+
+    out = []
+    for sentence in re.split(r"(?<=[.!?;:|])\s+", paragraph.strip()):
+        words = sentence.split()
+        if len(words) <= LONG:
+            out.append(sentence)
+            continue
+        at = 0
+        for i, w in enumerate(words, 1):
+            if crc32(w.encode()) % LEAF == 0 or i == len(words):
+                out.append(" ".join(words[at:i]))
+                at = i
+    return out
 
+
+def fingerprint(text: str | None) -> str:
+    """The fingerprint of a text; pure Python, for use in workers and tests."""
     text = text or ""
-    sections, paragraphs = [], []
+    shown, section = [], []
     for line in [*text.split("\n"), ""]:
-        if line.strip():
-            paragraphs.append([_digest(b"leaf" + s.encode(), 4) for s in re.split(r"(?<=[.!?;:|])\s+", line.strip())])
-        if paragraphs and (not line.strip() or len(paragraphs) == SECTION):
-            sections.append(paragraphs)
-            paragraphs = []
-    shown = []
-    for section in sections:
-        inner = ";".join(map(",".join, section))
-        shown.append(f"{_digest(b'section' + inner.encode(), 8)}:{inner}")
-    body = "|".join(shown)
-    return f"{_digest(b'root' + _digest(text.encode(), 16).encode() + body.encode(), 16)}/{body}"
-
-
-def _tree(shown: str) -> tuple[str, list[tuple[str, list[str]]]]:
+        last = not line.strip()
+        if not last:
+            own = ",".join(_digest(b"leaf" + x.encode(), 4) for x in leaves(line))
+            section.append((_digest(b"paragraph" + own.encode(), 4), own))
+            last = int(section[-1][0], 16) % SECTION == 0
+        if last and section:
+            digest = _digest(b"section" + ",".join(d for d, _ in section).encode(), 8)
+            shown.append(f"{digest}:" + ";".join(f"{d}={own}" for d, own in section))
+            section = []
+    sections = ",".join(x[:16] for x in shown)
+    return f"{_digest(b'root' + _digest(text.encode(), 16).encode() + sections.encode(), 16)}/{'|'.join(shown)}"
+
+
+def _tree(shown: str) -> tuple[str, list[tuple[str, list[tuple[str, list[str]]]]]]:
+    """(root, [(section, [(paragraph, [leaf])])])."""
     root, _, body = shown.partition("/")
-    return root, [(s[:16], s[17:].split(";")) for s in body.split("|") if s]
+    return root, [(s[:16], [(p[:8], p[9:].split(",")) for p in s[17:].split(";")]) for s in body.split("|") if s]
+
+
+def _unmatched(a: list[tuple], b: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """The nodes of each side without those whose digests both have, as often as both have them."""
+    from collections import Counter
+
+    same = Counter(x[0] for x in a) & Counter(x[0] for x in b)
+
+    def rest(own):
+        left, out = Counter(same), []
+        for x in own:
+            if left[x[0]]:
+                left[x[0]] -= 1
+            else:
+                out.append(x)
+        return out
+
+    return rest(a), rest(b)
 
 
 def likeness(a: str, b: str) -> float:
@@ -65,33 +104,32 @@ def likeness(a: str, b: str) -> float:
     (root_a, own_a), (root_b, own_b) = _tree(a), _tree(b)
     if root_a == root_b:
         return 1.0
-    leaves = lambda sections: [x for _, ps in sections for p in ps for x in p.split(",")]
-    total = len(leaves(own_a)) + len(leaves(own_b))
+    total = sum(len(p[1]) for own in (own_a, own_b) for s in own for p in s[1])
     if not total:
         return 0.0
-    same = Counter(d for d, _ in own_a) & Counter(d for d, _ in own_b)
-    matched, rest = 0, []
-    for own in (own_a, own_b):
-        left, still = Counter(same), []
-        for section in own:
-            if left[section[0]]:
-                left[section[0]] -= 1
-                matched += len(leaves([section]))
-            else:
-                still.append(section)
-        rest.append(Counter(leaves(still)))
-    return min(1.0, (matched + 2 * sum((rest[0] & rest[1]).values())) / total)
+    sections = _unmatched(own_a, own_b)
+    paragraphs = _unmatched(*([p for s in own for p in s[1]] for own in sections))
+    left = [Counter(x for p in own for x in p[1]) for own in paragraphs]
+    return (total - (left[0] - left[1]).total() - (left[1] - left[0]).total()) / total
 
 
 def differing(a: str, b: str) -> list[tuple[int, int]]:
-    """(section, paragraph) of a, each from 0, whose branches b has not at that place."""
+    """(section, paragraph) of a, each from 0, that b has not at the place that aligns with it."""
+    from difflib import SequenceMatcher
+
     (root_a, own_a), (root_b, own_b) = _tree(a), _tree(b)
+    if root_a == root_b:
+        return []
+
+    def changed(x: list[str], y: list[str]):
+        return ((i1, i2, j1, j2) for tag, i1, i2, j1, j2 in SequenceMatcher(None, x, y, autojunk=False).get_opcodes() if tag != "equal")
+
     out = []
-    if root_a != root_b:
-        for i, (digest, paragraphs) in enumerate(own_a):
-            other = own_b[i] if i < len(own_b) else ("", [])
-            if digest != other[0]:
-                out += [(i, j) for j, p in enumerate(paragraphs) if j >= len(other[1]) or p != other[1][j]]
+    for i1, i2, j1, j2 in changed([s[0] for s in own_a], [s[0] for s in own_b]):
+        mine = [(i, j, p[0]) for i in range(i1, i2) for j, p in enumerate(own_a[i][1])]
+        other = [p[0] for s in own_b[j1:j2] for p in s[1]]
+        for k1, k2, _, _ in changed([d for _, _, d in mine], other):
+            out += [(i, j) for i, j, _ in mine[k1:k2]]
     return out
 
 
