@@ -6,8 +6,12 @@ the fullest shards to the emptiest until sizes are near equal, and all other slo
 rebalancing never rehashes a record. The map has as many entries as slots, whatever the number of records, so it
 is planned on the driver from one aggregate of that size.
 
-Defined results: a null id hashes as the empty string; rows that repeat an id share its slot; a null text has
-size 1 and the CRC of the empty string; an empty table gives an empty table; other columns are ignored.
+The law is that of bytes: it says nothing of where equal texts go, which have an equal size and CRC and may be in
+different shards.
+
+Defined results: a record with a null id is hashed by its text, so that many of them are spread; rows that repeat an id
+share its slot; a null text has size 1 and the CRC of the empty string; an empty table gives an empty table; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -133,7 +137,7 @@ def sized(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n_
     """(doc_id, size, text_crc32, vslot) of each record, without the text."""
     own = texts(docs, id_col, text_col)
     text = F.coalesce("text", F.lit(""))
-    return own.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), virtual_slot(F.col("doc_id"), n_slots).alias("vslot"))
+    return own.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), virtual_slot(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(text.cast("binary")))), n_slots).alias("vslot"))
 
 
 def slot_bytes(records: DataFrame) -> DataFrame:
