@@ -1,12 +1,16 @@
 """Runs of one table or many: extract, guard, evolve, track changes, keep history, checkpoint.
 
-One lazy plan leads from the scan to each commit. Tables run as independent jobs of one driver, in FAIR pools.
+A source is read once for each table or day, into a landing folder: the guard's count, the merge and its counts are of
+that one snapshot, and an error during the scan is retried, not only one on opening it. Tables run as independent jobs
+of one driver, in FAIR pools.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sanitize import prepare
 from ..operators import cdc, evolve, guards, scd2
-from ..sources.registry import TableConfig, extract_full, extract_range
+from ..sources.registry import TableConfig, extract_full, extract_range, with_retries
 from .ops import Ops, now
 from .storage import TableLock, VersionedTable
 
@@ -46,6 +50,22 @@ class Run:
             return self.extract(self.spark, c, start, end)
         return extract_range(self.spark, c, start, end) if start else extract_full(self.spark, c)
 
+    @contextmanager
+    def landed(self, c: TableConfig, start: date | None, end: date | None) -> Iterator[DataFrame]:
+        """The fresh rows, written once and read from there; gone when the table or day is done."""
+        files = VersionedTable(self.spark, f"{self.root}/landing").files
+        path = f"{self.root}/landing/{c.source_name}.{c.source_object_name}-{uuid.uuid4().hex}"
+
+        def write():
+            own = self.fresh(c, start, end)
+            own.write.mode("overwrite").parquet(path)
+            return own.schema
+
+        try:
+            yield self.spark.read.schema(with_retries(write)).parquet(path)
+        finally:
+            files.delete(path)
+
 
 def _evolved(stage: DataFrame | None, fresh: DataFrame, config: TableConfig) -> tuple[DataFrame | None, DataFrame, bool]:
     """Both frames in one schema; a column that a source lost stays, as null."""
@@ -96,22 +116,26 @@ def small_table(run: Run, config: TableConfig, batch_id: int, *, run_ts: str | N
             total |= {"Status": "SKIPPED", "EventDetail": "lock"}
             return "SKIPPED"
         try:
-            fresh = run.fresh(c, None, None)
-            with run.ops.track(batch_id, "EXTRACT", c.source_object_name, c.source_name) as event:
-                n = fresh.count()
-                own = run.ops.read("event").where((F.col("EventType") == "EXTRACT") & (F.col("Status") == "SUCCESS") & (F.col("TableName") == c.source_object_name) & (F.col("SourceName") == c.source_name) & (F.col("BatchId") != batch_id))
-                decision = guards.decide(n, guards.median_baseline(own).first()["baseline"])
-                event |= {"RowsProcessed": n, "EventDetail": decision.kind}
-                if n == 0 or not (decision.proceed or run.force_guard):
-                    event["Status"] = total["Status"] = "SKIPPED"
-                    return "SKIPPED"
-            total |= {"RowsProcessed": n}
-            promote(run, c, batch_id, fresh, run_ts)
-            return "SUCCESS"
+            with run.landed(c, None, None) as fresh:
+                return _refreshed(run, c, batch_id, run_ts, fresh, total)
         finally:
             lock.release()
 
 
+def _refreshed(run: Run, c: TableConfig, batch_id: int, run_ts: str, fresh: DataFrame, total: dict) -> str:
+    with run.ops.track(batch_id, "EXTRACT", c.source_object_name, c.source_name) as event:
+        n = fresh.count()  # from footers
+        own = run.ops.read("event").where((F.col("EventType") == "EXTRACT") & (F.col("Status") == "SUCCESS") & (F.col("TableName") == c.source_object_name) & (F.col("SourceName") == c.source_name) & (F.col("BatchId") != batch_id))
+        decision = guards.decide(n, guards.median_baseline(own).first()["baseline"])
+        event |= {"RowsProcessed": n, "EventDetail": decision.kind}
+        if n == 0 or not (decision.proceed or run.force_guard):
+            event["Status"] = total["Status"] = "SKIPPED"
+            return "SKIPPED"
+    total |= {"RowsProcessed": n}
+    promote(run, c, batch_id, fresh, run_ts)
+    return "SUCCESS"
+
+
 def large_table(run: Run, config: TableConfig, batch_id: int, today: date, *, reprocess_lookback: bool = True) -> dict[date, str]:
     """Day by day up to yesterday: the status of each. A schema error ends the table, another error only its day."""
     c, out = config, {}
@@ -140,9 +164,12 @@ def large_table(run: Run, config: TableConfig, batch_id: int, today: date, *, re
 
 
 def _one_day(run: Run, c: TableConfig, batch_id: int, day: date) -> str:
-    start, end = day, day + timedelta(days=1)
-    fresh = run.fresh(c, start, end)
-    n = fresh.count()
+    with run.landed(c, day, day + timedelta(days=1)) as fresh:
+        return _promoted(run, c, batch_id, day, fresh)
+
+
+def _promoted(run: Run, c: TableConfig, batch_id: int, day: date, fresh: DataFrame) -> str:
+    start, end, n = day, day + timedelta(days=1), fresh.count()  # from footers
     with run.ops.track(batch_id, "EXTRACT", c.source_object_name, c.source_name) as event:
         own = run.ops.read("event").where((F.col("EventType") == "EXTRACT") & (F.col("Status") == "SUCCESS") & (F.col("TableName") == c.source_object_name) & (F.col("SourceName") == c.source_name) & (F.col("RowsProcessed") > 0))
         decision = guards.decide_daily(n, guards.weekday_baseline(own, day + timedelta(days=1)).first()["baseline"])
