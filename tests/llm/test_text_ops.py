@@ -5,7 +5,7 @@ import zlib
 import brute
 import pytest
 
-from tidemark.llm import bpe_codec, langid, merkle, pii, sharding, token_counts
+from tidemark.llm import bpe_codec, langid, merkle, sharding, token_counts
 
 P = pytest.importorskip("public_tokenizers")
 
@@ -160,35 +160,6 @@ def test_fingerprint_properties(spark):
     assert merkle.with_next(one).first()["edited"] == "alone" + "alone"
 
 
-ODD = [
-    "a@b.c_d@e.f x@y a@@b.c", "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.4 0000000000000000255.1.1.1", "+1 (555) 010-9999 and +12 and +1+2", "4111 1111 1111 1111 4111-1111-1111-1112",
-    "é€😀 x.y@z.org +49 170 1234567", "9" * 300 + ".1.2.3", "a@b." * 600, "1 " * 3000, "x" * 20000 + "@y.zz", "- 5-5-5 -", "@", "+", "a.b@c-d.e.f-g.", " ".join(f"u{i}@h{i}.org" for i in range(1500)),
-]
-
-
-def test_personal_data(spark, docs):
-    rows = [(i, t) for i, t, _ in brute.TEXTS] + [(100 + i, t) for i, t in enumerate(ODD)]
-    extra = spark.createDataFrame([(100 + i, t, "en") for i, t in enumerate(ODD)], "doc_id long, text string, lang string")
-    found = pii.find(docs.unionByName(extra, allowMissingColumns=True)).select("doc_id", pii.shown("_base").alias("base"), pii.shown("_spans").alias("spans")).collect()
-    assert by_row(found, "doc_id", "base") == sorted(((i, brute.base_spans(t)) for i, t in rows), key=repr)
-    for r in found:
-        assert set(r["base"].split(",")) <= set(r["spans"].split(",")) or not r["base"]
-
-
-def test_personal_data_adds_likely_spans(spark):
-    texts = ["call me at (555) 123-4567.", "the total was 100-200-300 in all", "ann.lee (at) mail (dot) com wrote", "SSN 123-45-6789 is his", "version 2024.01.02 came"]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    spans = {r["doc_id"]: r["s"] for r in pii.find(df).select("doc_id", pii.shown("_spans").alias("s")).collect()}
-    assert spans[0].startswith("phone:11:") and spans[1] == "" and spans[2].startswith("email:0:") and spans[3].startswith("ssn:4:15") and spans[4] == ""
-    assert pii.find(brute.empty(spark)).count() == 0
-
-
-def test_redaction(spark, docs):
-    got = {r["doc_id"]: r for r in pii.redacted(docs).collect()}
-    assert got[12]["text"] == "mail [EMAIL] or [PHONE], host [IP], card [CARD] <|endoftext|> ok"
-    assert got[4]["text"] is None and got[0]["text"] == brute.TEXTS[0][1] and got[0]["a.b"] == "x"
-
-
 def test_written_tables_can_be_cleared(spark):
     from tidemark.llm.common import clear_written, written
 
