@@ -26,10 +26,11 @@ from dataclasses import dataclass
 from itertools import combinations
 from math import comb
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, map_batches, partitions, texts, written
+from .substring_dedup import _counted, _gathered, _parted, _split, _unzip
 
 BITS = 64
 #: A row that is shuffled and sorted takes about as long as so many comparisons of two fingerprints.
@@ -228,9 +229,10 @@ def _links(radius: int, chunk: int = 2_000_000):
     return run
 
 
-def _tiled(rows: DataFrame, keep: list[str], tile: int) -> DataFrame:
-    """(bucket, tile, probe, *keep): buckets of more than `tile` rows as all pairs of chunks of that size."""
-    large = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > tile).select("bucket", F.ceil(F.col("n_rows") / tile).cast("int").alias("chunks"))
+def _tiled(rows: DataFrame, keep: list[str], tile: int, weight: Column | None = None) -> DataFrame:
+    """(bucket, tile, probe, *keep): buckets of more than `tile` rows, or a weight above it, as all pairs of chunks of that size."""
+    heavy = F.count(F.lit(1)) if weight is None else F.greatest(F.count(F.lit(1)), F.ceil(F.sum(weight)))
+    large = rows.groupBy("bucket").agg(heavy.alias("n_rows")).where(F.col("n_rows") > tile).select("bucket", F.ceil(F.col("n_rows") / tile).cast("int").alias("chunks"))
     split = rows.join(large, "bucket", "left").withColumn("own", F.pmod(F.xxhash64("id"), F.coalesce("chunks", F.lit(1))).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1), lambda c: F.least(c, F.col("own")) * 1_000_000 + F.greatest(c, F.col("own")))
     tiles = F.when(F.col("chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(others.cast("array<long>"))
@@ -306,10 +308,11 @@ EDGE = b".,;:!?\"'()[]"
 
 
 def sketches(docs: DataFrame, *, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, s1, s2, n) of each text, A-Z lower-cased.
+    """(doc_id, fp, s1, s2, n, m) of each text, A-Z lower-cased.
 
     fp: SimHash over its distinct words, edge punctuation off, which few edits move little. s1, s2: a 128-bit SimHash
-    over its n distinct shingles of `shingle` words (fewer words: one shingle), by which candidates are ranked.
+    over its n distinct shingles of `shingle` words (fewer words: one shingle), by which candidates are ranked. m: how
+    many values the first 32 bits of their hashes have.
     """
 
     def run(batches: Iterator) -> Iterator:
@@ -333,11 +336,13 @@ def sketches(docs: DataFrame, *, shingle: int = 5, id_col: str = "doc_id", text_
                 parts = {b" ".join(words[i : i + shingle]) for i in range(max(len(words) - shingle + 1, 1))} if words else set()
                 bare = {w.strip(EDGE) or w for w in words}
                 row[0] = majority(np.fromiter((xxhash.xxh64_intdigest(w, 7) for w in bare), np.uint64, len(bare)), 64)[0]
-                row[1:] = majority(np.frombuffer(b"".join(xxhash.xxh3_128_digest(p) for p in parts), np.uint64).reshape(-1, 2), SKETCH_BITS)
-                sizes.append(len(parts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(out[:, i]).view(np.int64)) for i in range(3)), pa.array(sizes, pa.int32())], ["doc_id", "fp", "s1", "s2", "n"])
+                h = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), "<u8").reshape(-1, 2)
+                row[1:] = majority(h, SKETCH_BITS)
+                sizes.append((len(np.unique(h[:, 0])), len(np.unique(h[:, 0].astype(np.uint32)))))
+            n, m = zip(*sizes) if sizes else ((), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(out[:, i]).view(np.int64)) for i in range(3)), pa.array(n, pa.int32()), pa.array(m, pa.int32())], ["doc_id", "fp", "s1", "s2", "n", "m"])
 
-    return map_batches(texts(docs, id_col, text_col), run, "doc_id long, fp long, s1 long, s2 long, n int")
+    return map_batches(texts(docs, id_col, text_col), run, "doc_id long, fp long, s1 long, s2 long, n int, m int")
 
 
 def _classed_probes(entries: DataFrame, plan: Plan, similarity: float) -> DataFrame:
@@ -474,20 +479,24 @@ def _candidates(radius: int, similarity: float, forests: int, chunk: int = 2_000
     return run
 
 
+def _keys(data: bytes, shingle: int):
+    """The hashes of a text's distinct shingles, in order; the first half of those of sketches()."""
+    import numpy as np
+    import xxhash
+
+    words = data.lower().split()
+    parts = (b" ".join(words[i : i + shingle]) for i in range(max(len(words) - shingle + 1, 1))) if words else ()
+    return np.unique(np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), "<u8")[::2])
+
+
 def _shingle_sets(shingle: int):
-    """(id, keys): the sorted 32-bit hashes of a text's distinct shingles."""
+    """(id, keys): the sorted hashes of a text's distinct shingles."""
 
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
-        import xxhash
 
         for batch in batches:
-            out = []
-            for text in batch.column(1).to_pylist():
-                words = (text or "").encode().lower().split()
-                h = (xxhash.xxh32_intdigest(b" ".join(words[i : i + shingle])) for i in range(max(len(words) - shingle + 1, 1))) if words else ()
-                out.append(np.unique(np.fromiter(h, np.uint32)).tobytes())
+            out = [_keys((text or "").encode(), shingle).tobytes() for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "keys"])
 
     return run
@@ -501,7 +510,7 @@ def _verified(similarity: float):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both >= similarity * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -509,26 +518,30 @@ def _verified(similarity: float):
     return run
 
 
+def _sets_of(ids: DataFrame, known: DataFrame, shingle: int) -> DataFrame:
+    """(id, keys) of the ids; of rows that repeat an id, always the same text counts."""
+    held = known.join(ids, known["doc_id"] == ids["id"], "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return written(map_batches(held, _shingle_sets(shingle), "id long, keys binary"), "shingle-sets")
+
+
 def _verified_pairs(pairs: DataFrame, known: DataFrame, similarity: float, shingle: int) -> DataFrame:
     """The pairs (a, b) of ids whose texts have this similarity or more, each compared exactly."""
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    held = known.join(ends, known["doc_id"] == ends["id"], "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))  # of rows that repeat an id, always the same one
-    sets = written(map_batches(held, _shingle_sets(shingle), "id long, keys binary"), "shingle-sets")
+    sets = _sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), known, shingle)
     met = pairs.join(sets.select(F.col("id").alias("a"), F.col("keys").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("keys").alias("y")), "b").select("a", "b", "x", "y")
     return map_batches(met, _verified(similarity), "a long, b long")
 
 
 def _frequent(known: DataFrame, shingle: int, sample: int = 10_000, limit: int = 100_000):
-    """Hashes of shingles that occur repeatedly in about `sample` texts, the rarest first; they are only put last in order."""
+    """32-bit hashes of shingles that occur repeatedly in about `sample` texts, the rarest first; they are only put last in order."""
     import numpy as np
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        for batch in _shingle_sets(shingle)(batches):
-            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int32))], ["key"])
+        for batch in batches:
+            keys = [np.unique(_keys((text or "").encode(), shingle).astype(np.uint32)) for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*keys, np.zeros(0, np.uint32)]).view(np.int32))], ["key"])
 
     share = int(min(1.0, sample / max(known.count(), 1)) * (1 << 30))
     some = known.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) <= share)
@@ -536,11 +549,121 @@ def _frequent(known: DataFrame, shingle: int, sample: int = 10_000, limit: int =
     return np.array([r["key"] for r in reversed(rows)], np.int32).view(np.uint32)
 
 
-def _prefixes(similarity: float, shingle: int, frequent):
-    """(id, prefix): the first hashes of each text in one order of all hashes, rare before frequent ones.
+SENT = "home int, single boolean, doc_ids binary, sizes binary, keys binary"
+TOLD = "part int, doc_ids binary, sizes binary, keys binary"
+
+
+def _sent(shingle: int, n_homes: int, size: int = 6_000_000):
+    """From texts: for each home of hashes, those of a batch. A hash that several texts of the batch have goes to its
+    home once, as not single, and each of these texts is told at once that it is shared: home -1."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for rows in _gathered(batches, size):
+            sets = [np.unique(_keys(data, shingle).astype(np.uint32)) for _, data in rows]
+            ids, key = np.array([i for i, _ in rows], np.int64), np.concatenate(sets)
+            doc = np.repeat(ids, list(map(len, sets)))
+            if not len(key):
+                continue
+            order = np.lexsort((doc, key))
+            key, doc = key[order], doc[order]
+            edge = _split(key)
+            times = np.diff(edge)
+            alone, first, out = np.repeat(times == 1, times), edge[:-1], []
+
+            def packed(single: bool, k, d):
+                home = (k.astype(np.uint64) * np.uint64(n_homes)) >> np.uint64(32)
+                order = np.lexsort((k, d, home))
+                k, d, home = k[order], d[order], home[order]
+                cut = _split(home)
+                for a, b in zip(cut, cut[1:]):
+                    out.append((int(home[a]), single, *_counted(d[a:b]), k[a:b].astype("<u4").tobytes()))
+
+            packed(True, key[alone], doc[alone])
+            packed(False, key[first][times > 1], doc[first][times > 1])
+            for _, places in _parted(doc[~alone], n_homes):
+                out.append((-1, False, *_counted(doc[~alone][places]), key[~alone][places].astype("<u4").tobytes()))
+            kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["home", "single", "doc_ids", "sizes", "keys"])
+
+    return run
+
+
+def _told(n_parts: int):
+    """From rows sorted by home: which of the hashes that are single in their batch are shared after all, by document."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        names, kinds = ["part", "doc_ids", "sizes", "keys"], (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        at, held, out = None, [], []
+
+        def decided():
+            key, doc, single = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(key, kind="stable")
+            key, doc, single = key[order], doc[order], single[order]
+            times = np.diff(_split(key))
+            tell = single & np.repeat(times > 1, times)
+            for part, places in _parted(doc[tell], n_parts):
+                out.append((part, *_counted(doc[tell][places]), key[tell][places].astype("<u4").tobytes()))
+
+        for batch in batches:
+            for home, single, ids, sizes, keys in zip(*(batch.column(c).to_pylist() for c in range(5))):
+                if home < 0:
+                    out.append((int(_unzip(ids)[0] % n_parts), ids, sizes, keys))
+                    continue
+                if home != at and held:
+                    decided()
+                    held.clear()
+                at = home
+                doc = np.repeat(_unzip(ids), _unzip(sizes))
+                held.append((np.frombuffer(keys, "<u4"), doc, np.full(len(doc), single)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+                out.clear()
+        if held:
+            decided()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+
+    return run
+
+
+def _shared_keys(batches: Iterator) -> Iterator:
+    """From rows sorted by part: (id, shared), the hashes of each document that another one has."""
+    import numpy as np
+    import pyarrow as pa
 
-    Sets of this similarity share so much that they share one of their first n - ceil(similarity * n) + 1 elements
-    in any order. The sets are those that are compared exactly, so no pair that would pass is left out.
+    def rows(held):
+        doc, key = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(doc, kind="stable")
+        doc, key = doc[order], key[order]
+        edge = _split(doc)
+        for i in range(0, len(edge) - 1, 5000):
+            own = edge[i : i + 5001]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[own[:-1]], pa.int64()), pa.array([key[a:b].tobytes() for a, b in zip(own, own[1:])], pa.binary())], ["id", "shared"])
+
+    at, held = None, []
+    for batch in batches:
+        for part, ids, sizes, keys in zip(*(batch.column(c).to_pylist() for c in range(4))):
+            if part != at and held:
+                yield from rows(held)
+                held = []
+            at = part
+            held.append((np.repeat(_unzip(ids), _unzip(sizes)), np.frombuffer(keys, "<u4")))
+    if held:
+        yield from rows(held)
+
+
+def _postings(similarity: float, frequent):
+    """(bucket, id, component, n): a row for each shared hash among the first of a document in one order of all hashes.
+
+    Sets of this similarity share so much that they share one of their first n - ceil(similarity * n) + 1 elements in
+    any order. In this one, hashes that no other document has come first, and frequent ones last. Hashes are cut to
+    32 bits here; n counts whole ones, so what the cut takes together is no loss.
     """
     import numpy as np
 
@@ -553,118 +676,94 @@ def _prefixes(similarity: float, shingle: int, frequent):
         import numpy as np
         import pyarrow as pa
 
-        for batch in _shingle_sets(shingle)(batches):
-            out = []
-            for own in batch.column(1).to_pylist():
-                own = np.frombuffer(own, np.uint32)
-                first = len(own) - math.ceil(similarity * len(own) - 1e-9) + 1 if len(own) else 0
+        for batch in batches:
+            out, times = [], []
+            for raw, n, m in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
+                own = np.unique(np.frombuffer(raw, "<u4"))
+                first = n - math.ceil(similarity * n - 1e-9) + 1 - (m - len(own))
                 rank = np.zeros(len(own), np.int64)
                 if len(keys_sorted):
                     at = np.minimum(np.searchsorted(keys_sorted, own), len(keys_sorted) - 1)
                     rank = np.where(keys_sorted[at] == own, by_key[at] + 1, 0)
                 # hashes are in order already, and a stable sort keeps that within a rank
-                out.append(own[np.argsort(rank, kind="stable")[:first]].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "prefix"])
+                out.append(own[np.argsort(rank, kind="stable")[: max(first, 0)]])
+                times.append(len(out[-1]))
+            if sum(times):
+                each = [np.repeat(batch.column(i).to_numpy(zero_copy_only=False), times) for i in (0, 1, 3)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int32)), *map(pa.array, each)], ["bucket", "id", "component", "n"])
 
     return run
 
 
-def _postings(batches: Iterator) -> Iterator:
-    """(bucket, id): a row for each hash of a prefix."""
-    import numpy as np
-    import pyarrow as pa
-
-    for batch in batches:
-        own = batch.column(1).to_pylist()
-        ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(x) // 4 for x in own])
-        yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(own), np.int32)), pa.array(ids, pa.int64())], ["bucket", "id"])
-
-
-def _shared(batches: Iterator) -> Iterator:
-    """From rows sorted by bucket: those of buckets with two rows or more."""
-    import numpy as np
-    import pyarrow as pa
+def _crossing(similarity: float):
+    """From rows sorted by bucket, tile and component: links between components, each pair of sets compared exactly.
 
-    bucket, ids, before = np.zeros(0, np.int32), np.zeros(0, np.int64), False  # the last row so far, and whether its bucket has another
-    for batch in batches:
-        bucket = np.concatenate([bucket, batch.column(0).to_numpy(zero_copy_only=False)])
-        ids = np.concatenate([ids, batch.column(1).to_numpy(zero_copy_only=False)])
-        if len(bucket) < 2:
-            continue
-        same = bucket[1:] == bucket[:-1]
-        keep = np.append(before, same[:-1]) | same
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[:-1][keep]), pa.array(ids[:-1][keep])], ["bucket", "id"])
-        bucket, ids, before = bucket[-1:], ids[-1:], bool(same[-1])
-    if before:
-        yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(ids)], ["bucket", "id"])
-
-
-def _crossing(similarity: float, chunk: int = 2_000_000):
-    """From rows sorted by bucket, tile and component: all pairs of different components whose sizes and sketches allow the similarity.
-
-    Sketches are asked of larger sets only, and up to six standard deviations: a pair of the similarity is beyond with
-    a probability of less than one in a million.
+    Only links that join what is still apart are reported, so a tile gives fewer rows than it has.
     """
 
     def run(batches: Iterator) -> Iterator:
-        import math
-
         import numpy as np
         import pyarrow as pa
 
-        share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-        far = SKETCH_BITS * share + 6 * math.sqrt(SKETCH_BITS * share * (1 - share))
-
-        def across(bucket, tile, component, n, s1, s2, ids):
-            rows = len(bucket)
-            new = np.ones(rows, bool)
-            new[1:] = (bucket[1:] != bucket[:-1]) | (tile[1:] != tile[:-1])
-            apart = new.copy()
-            apart[1:] |= component[1:] != component[:-1]
-            ends = [np.repeat(np.append(f[1:], rows), np.diff(np.append(f, rows))) for f in (np.flatnonzero(new), np.flatnonzero(apart))]
-            own = np.flatnonzero(ends[0] > ends[1])
-            todo = (ends[0] - ends[1])[own]
-            upto, at = np.cumsum(todo), 0
-            while at < len(own):
-                done = upto[at - 1] if at else 0
-                stop = max(at + 1, int(np.searchsorted(upto, done + chunk, side="right")))
-                left = np.repeat(own[at:stop], todo[at:stop])
-                right = ends[1][left] + np.arange(len(left)) + done - np.repeat(upto[at:stop] - todo[at:stop], todo[at:stop])
-                low, high = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
-                near = low >= similarity * high - 1
-                left, right, low = left[near], right[near], low[near]
-                bits = np.bitwise_count(s1[left] ^ s1[right]).astype(np.int64) + np.bitwise_count(s2[left] ^ s2[right])
-                near = (bits <= far) | (low < 64)
-                a, b = ids[left[near]], ids[right[near]]
-                found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], ["a", "b"])
-                at = stop
-
-        held = None
+        def linked(component, ids, raw):
+            sets = [np.frombuffer(x, "<u8") for x in raw]
+            n = np.array(list(map(len, sets)))
+            _, keys = np.unique(np.concatenate(sets), return_inverse=True)
+            begin, mark = np.append(0, np.cumsum(n)), np.zeros(keys.max() + 1 if len(keys) else 1, bool)
+            _, label = np.unique(component, return_inverse=True)
+            found = []
+            for i in range(len(ids) - 1):
+                # later rows of other components, of a size that allows it
+                right = np.flatnonzero((label[i + 1 :] != label[i]) & (np.minimum(n[i + 1 :], n[i]) >= similarity * np.maximum(n[i + 1 :], n[i]))) + i + 1
+                if not len(right) or not n[i]:
+                    continue
+                mark[keys[begin[i] : begin[i + 1]]] = True
+                at = np.append(0, np.cumsum(n[right]))
+                places = np.repeat(begin[right] - at[:-1], n[right]) + np.arange(at[-1])
+                both = np.add.reduceat(mark[keys[places]].astype(np.int64), at[:-1])
+                mark[keys[begin[i] : begin[i + 1]]] = False
+                for j in right[both >= similarity * (n[i] + n[right] - both)]:
+                    if label[j] != label[i]:
+                        label[label == label[j]] = label[i]
+                        found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+            return found
+
+        at, held = None, []
+        names = ["a", "b"]
         for batch in batches:
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
-            cols[4:6] = [c.view(np.uint64) for c in cols[4:6]]
-            held = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
-            last = (held[0] == held[0][-1]) & (held[1] == held[1][-1])
-            whole = int(np.argmax(last))
-            if whole:
-                yield from across(*(x[:whole] for x in held))
-                held = [x[whole:] for x in held]
-        if held is not None and len(held[0]):
-            yield from across(*held)
+            out = []
+            for bucket, tile, component, key, raw in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if (bucket, tile) != at and held:
+                    out += linked(*zip(*held))
+                    held = []
+                at = bucket, tile
+                held.append((component, key, raw))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else ((), ()))], names)
+        if held and (out := linked(*zip(*held))):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
 
     return run
 
 
 def _missed(known: DataFrame, info: DataFrame, similarity: float, shingle: int, tile: int) -> DataFrame:
-    """(a, b): all pairs of different components that may be similar, by prefix filtering; info: (id, component, n, s1, s2)."""
+    """(a, b): links between different components, by prefix filtering; info: (id, component, n, m)."""
     spark = known.sparkSession
-    prefixes = map_batches(known.where("doc_id is not null"), _prefixes(similarity, shingle, _frequent(known, shingle)), "id long, prefix binary")
-    own = prefixes.join(info.select("id").distinct(), "id", "left_semi")
-    dealt = map_batches(own, _postings, "bucket int, id long").repartition(partitions(spark), "bucket").sortWithinPartitions("bucket")
-    met = written(map_batches(dealt, _shared, "bucket int, id long"), "postings")
-    tiled = _tiled(met.join(info, "id").withColumn("probe", F.lit(False)), ["component", "n", "s1", "s2", "id"], tile).drop("probe")
-    dealt = tiled.repartition(partitions(spark), "bucket", "tile").sortWithinPartitions("bucket", "tile", "component")
+    n_homes = min(partitions(spark), 1 << 20)
+    dealt_by = F.when(F.col("home") >= 0, F.col("home").cast("long")).otherwise(F.xxhash64("doc_ids"))
+    sent = map_batches(known.where("doc_id is not null"), _sent(shingle, n_homes), SENT).repartition(n_homes, dealt_by).sortWithinPartitions("home")
+    told = map_batches(sent, _told(n_homes), TOLD).repartition(n_homes, "part").sortWithinPartitions("part")
+    shared = map_batches(told, _shared_keys, "id long, shared binary")
+    # what shares fewer than the similarity asks of it has no link
+    enough = shared.join(info, "id").where(F.octet_length("shared") / 4 >= F.ceil(similarity * F.col("n") - 1e-9) - (F.col("n") - F.col("m")))
+    postings = map_batches(enough.select("id", "component", "shared", "n", "m"), _postings(similarity, _frequent(known, shingle)), "bucket int, id long, component long, n int")
+    postings = written(postings, "postings")
+    # the documents of a bucket meet at its smallest id, once however many buckets they share: a set is sent there once
+    apart = postings.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("hub")).where("low < high").select("bucket", "hub")
+    met = cut(postings.join(apart, "bucket").groupBy(F.col("hub").alias("bucket"), "id", "component").agg(F.max("n").alias("n")))
+    tiled = _tiled(met.withColumn("probe", F.lit(False)), ["component", "id"], tile, weight=F.col("n") / 1024).drop("probe")
+    sets = _sets_of(met.select("id").distinct(), known, shingle)
+    rows = tiled.join(sets, "id").select("bucket", "tile", "component", "id", "keys")
+    dealt = rows.repartition(partitions(spark), "bucket", "tile").sortWithinPartitions("bucket", "tile", "component", "id")
     return map_batches(dealt, _crossing(similarity), "a long, b long").distinct()
 
 
@@ -672,14 +771,16 @@ def similar_groups(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5
     """(doc_id, component_id): groups of documents linked by a Jaccard similarity of `similarity` or more of their shingles.
 
     First come pairs of fingerprints over words within the radius, found as in links(), of which the likeliest are
-    compared exactly: that closes large groups at little cost. Then all pairs between the groups so far that share a
-    shingle of their prefixes are compared exactly, whatever their fingerprints, so that no link is lost.
+    compared exactly: that closes large groups at little cost. Then prefix filtering finds what may link the groups so
+    far, whatever the fingerprints: documents that share a shingle of their prefixes, which leaves out those whose
+    prefixes nobody shares. Where such a bucket has several groups, their sets are compared exactly, so no link is lost.
+    Sets are compared where they meet, and only links come back: never a row for each pair.
     A null doc_id has a null component; equal documents are one entry.
     """
     spark = docs.sparkSession
     known = texts(docs, id_col, text_col)
     own = written(sketches(known, shingle=shingle), "sketches")
-    key = ["fp", "s1", "s2", "n"]
+    key = ["fp", "s1", "s2", "n", "m"]
     entries = cut(own.where("doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("id")))
     n, both = bit_statistics(entries)
     rows = _classed_probes(entries, allocate(n, both, radius, rows_factor=2, pairs_factor=0.2), similarity)
@@ -687,8 +788,8 @@ def similar_groups(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5
     dealt = tiled.repartition(partitions(spark), "bucket", "tile").sortWithinPartitions("bucket", "tile", "probe")
     pairs = cut(map_batches(dealt, _candidates(radius, similarity, forests), "a long, b long").distinct())
     closed = cut(components(_verified_pairs(pairs, known, similarity, shingle)))
-    info = entries.join(closed, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "n", "s1", "s2")
-    more = _verified_pairs(cut(_missed(known, info, similarity, shingle, tile)), known, similarity, shingle)
+    info = entries.join(closed, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "n", "m")
+    more = _missed(known, cut(info), similarity, shingle, tile)
     closed = components(more.unionByName(closed.select(F.col("id").alias("a"), F.col("component").alias("b"))))
     named_entries = entries.join(closed, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
     return own.join(named_entries, key, "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
