@@ -43,6 +43,16 @@ def test_query(spark, duck, sf, name):
     assert rows(df.columns, got) == rows(names, expected)
 
 
+def test_slowest_without_names(spark, tmp_path):
+    """Long runs without a table name come after the others of their duration, as in the SQL."""
+    c = duckdb.connect()
+    c.execute(f"COPY (SELECT i * 4 * 10007 AS event_id, TIMESTAMP '2024-01-25' AS ts, CASE WHEN i >= 3 THEN i END AS user_id FROM range(13) AS r(i)) TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    c.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    df = catalogue.ops_slowest(spark, str(tmp_path))
+    expected = c.execute(catalogue.ORACLE["ops_slowest"])
+    assert rows(df.columns, df.collect()) == rows([x[0] for x in expected.description], expected.fetchall())
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 

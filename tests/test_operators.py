@@ -220,6 +220,19 @@ def test_ops_tables(spark, tmp_path):
     assert ops.dirty_audits(o.read("reconciliation")).first()["SourceOnlyRows"] == 1
 
 
+def test_slowest_ties(spark):
+    """Of equal durations the rows of the lowest batches are kept, however the rows are read; nulls are last."""
+    schema = "BatchId long, TableName string, EventType string, CompletedAt timestamp_ntz, DurationMs long, RowsProcessed long, Status string"
+    row = lambda batch, name, ms, n: (batch, name, "TABLE_TOTAL", datetime(2024, 1, 2), ms, n, "SUCCESS")
+    data = [row(b, "t", 9, 100 - b) for b in range(20)] + [row(0, "t", 9, 200), row(1, None, 9, 7), row(1, "a", None, 8), row(2, "a", 9, 1)]
+    expected = [("a", 1), ("t", 100), ("t", 200), ("t", 99), ("t", 98)]
+    for rows in (data, data[::-1], random.Random(1).sample(data, len(data))):
+        for parts in (1, 3):
+            df = spark.createDataFrame(rows, schema).repartition(parts)
+            assert [(r["TableName"], r["RowsProcessed"]) for r in ops.slowest(df, "2024-01-01 00:00:00", 5).collect()] == expected
+    assert [r["RowsProcessed"] for r in ops.slowest(df, "2024-01-01 00:00:00", 99).collect()][-2:] == [7, 8]
+
+
 def test_llm_is_optional():
     import subprocess
     import sys

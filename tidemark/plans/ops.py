@@ -122,8 +122,10 @@ class OpsHandler(logging.Handler):
 
 
 def slowest(events: DataFrame, since: str, n: int = 10) -> DataFrame:
+    """The n longest runs of whole tables. Equal ones go by batch, then by what is shown, so the data alone decides which are kept; nulls are last."""
     own = events.where((F.col("EventType") == "TABLE_TOTAL") & (F.col("CompletedAt") > F.lit(since).cast("timestamp_ntz")))
-    return own.orderBy(F.desc("DurationMs"), "TableName").limit(n).select("TableName", "EventType", "DurationMs", "RowsProcessed", "Status")
+    order = [F.desc_nulls_last("DurationMs"), *(F.asc_nulls_last(c) for c in ("TableName", "BatchId", "RowsProcessed", "Status"))]
+    return own.orderBy(*order).limit(n).select("TableName", "EventType", "DurationMs", "RowsProcessed", "Status")
 
 
 def failed(events: DataFrame, since: str) -> DataFrame:
